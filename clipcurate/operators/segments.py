@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Width of one time slice. A slice of a clip holds at most this many different start times.
-SLICE_US = 1_000_000
+# Width of one time slice; longer than any clip that is kept, so that most clips have one slice.
+SLICE_US = 30_000_000
 
 
 def diarization_rows(segments: DataFrame, status: DataFrame | None = None) -> DataFrame:
@@ -24,12 +24,13 @@ def overlap_profile(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFra
     """Per clip: has any pair of segments a common instant, is there one speaker at most, did it fail.
 
     Two segments overlap when each starts before the other ends; touching ends do not count and the
-    speakers are not compared. In (start, end) order that means: some segment starts before the largest
-    end seen so far. A running maximum over a whole clip would put that clip into one task, so
+    speakers are not compared. In (start, end) order it is enough to look at neighbours: if no segment
+    starts before its predecessor ends, the ends grow too and no pair overlaps. To keep a clip with very
+    many segments out of a single task,
 
     1. equal starts are folded first (map-side, so copies never travel),
-    2. the running maximum runs inside each time slice of the clip,
-    3. slices, now one row each, are compared with the largest end of the slices before them.
+    2. neighbours are compared inside each time slice of the clip,
+    3. slices, now one row each, are compared with the slice before them.
 
     A segment that ends before it starts, or has only one bound, is unusable output: the clip fails.
     """
@@ -51,13 +52,9 @@ def overlap_profile(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFra
             F.max("bad").alias("bad"),
         )
     )
-    earlier = (
-        Window.partitionBy("clip_id", "slice")
-        .orderBy("start_us", "end_us")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    in_slice = Window.partitionBy("clip_id", "slice").orderBy("start_us", "end_us")
     slices = (
-        folded.withColumn("open_until", F.max("end_us").over(earlier))
+        folded.withColumn("end_before", F.lag("end_us").over(in_slice))
         .groupBy("clip_id", "slice")
         .agg(
             F.min("start_us").alias("first_start"),
@@ -65,18 +62,14 @@ def overlap_profile(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFra
             F.min("speaker").alias("low_speaker"),
             F.max("speaker").alias("high_speaker"),
             F.bool_or(
-                (F.col("positive") > 1) | F.coalesce(start < F.col("open_until"), F.lit(False))
+                (F.col("positive") > 1) | F.coalesce(start < F.col("end_before"), F.lit(False))
             ).alias("inner_overlap"),
             F.bool_or("bad").alias("bad"),
         )
     )
-    earlier_slices = (
-        Window.partitionBy("clip_id")
-        .orderBy("slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    in_clip = Window.partitionBy("clip_id").orderBy("slice")
     return (
-        slices.withColumn("open_until", F.max("last_end").over(earlier_slices))
+        slices.withColumn("end_before", F.lag("last_end").over(in_clip))
         .groupBy("clip_id")
         .agg(
             F.coalesce(F.min("low_speaker") == F.max("high_speaker"), F.lit(True)).alias(
@@ -84,7 +77,7 @@ def overlap_profile(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFra
             ),
             F.bool_or(
                 F.col("inner_overlap")
-                | F.coalesce(F.col("first_start") < F.col("open_until"), F.lit(False))
+                | F.coalesce(F.col("first_start") < F.col("end_before"), F.lit(False))
             ).alias("has_overlap"),
             F.bool_or("bad").alias("failed"),
         )

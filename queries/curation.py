@@ -40,7 +40,7 @@ def clean_text(spark, d):
 
 
 def clean_markup(spark, d):
-    pages = views.table(spark, d, "pages")
+    pages = views.spread_table(spark, d, "pages")
     return pages.select("page_id", text.clean_text(F.col("html")).alias("clean_text"))
 
 
@@ -139,7 +139,7 @@ def wav_missing(spark, d):
 
 
 def path_names(spark, d):
-    pages = views.table(spark, d, "pages")
+    pages = views.spread_table(spark, d, "pages")
     stem = names.path_stem(F.col("url")).alias("stem")
     return pages.select("page_id", stem, names.wav_path(F.col("page_id").cast("string")).alias("wav"))
 

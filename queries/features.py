@@ -20,7 +20,7 @@ EPOCH = 3
 
 
 def _documents(spark, d):
-    return views.table(spark, d, "documents")
+    return views.spread_table(spark, d, "documents")
 
 
 def char_inventory(spark, d):
@@ -36,12 +36,12 @@ def script_chars(spark, d):
 
 
 def vocab_new(spark, d):
-    chars = vocab.distinct_characters(views.table(spark, d, "pages"), "html")
+    chars = vocab.distinct_characters(views.spread_table(spark, d, "pages"), "html")
     return vocab.new_characters(chars, views.base_vocab(spark, d))
 
 
 def vocab_extend(spark, d):
-    pages = views.table(spark, d, "pages")
+    pages = views.spread_table(spark, d, "pages")
     return grow_vocabulary(pages, views.base_vocab(spark, d), "html", script=None)
 
 
@@ -107,18 +107,18 @@ def over_limit(spark, d):
 
 
 def mean_vector(spark, d):
-    table = views.table(spark, d, "embeddings")
+    table = views.spread_table(spark, d, "embeddings")
     return vectors.mean_elements(table, vec="embedding")
 
 
 def group_mean_vector(spark, d):
-    table = views.table(spark, d, "embeddings")
+    table = views.spread_table(spark, d, "embeddings")
     return vectors.mean_elements(table, "label", vec="embedding")
 
 
 def vocab_vectors(spark, d):
     """The vector table, grown by one mean row per character that the vocabulary gains."""
-    known = views.table(spark, d, "embeddings").select(
+    known = views.spread_table(spark, d, "embeddings").select(
         F.col("vec_id").alias("token_id"), F.col("embedding").alias("vec")
     )
     added = vocab_extend(spark, d).where("added").select(

@@ -6,12 +6,11 @@ table; segments are the phrases of a clip; recordings carry the bytes of a conve
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipcurate.functions.names import wav_path
 from clipcurate.functions.text import WHITESPACE, characters
-from clipcurate.operators.segments import diarization_rows
 from clipcurate.plans.generate import PRESETS
 
 RATE = 24000
@@ -22,10 +21,23 @@ PHRASE_END = "[,.;:!?]+ ?"
 CLIP_COLUMNS = ("id", "language", "text", "frames", "sampling_rate", "src_file", "src_row")
 
 
+# A scan of at most this many splits is about a gigabyte, so spreading it over all cores is cheap.
+SMALL_SCAN = 8
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for row-heavy work. One small file is one row group, which only one task could read."""
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() > min(SMALL_SCAN, cores):
+        return rows
+    return rows.repartition(cores)
+
+
 def lines_to_clips(documents: DataFrame) -> DataFrame:
     """Clips with `doc_id`; the speaking rate of a line is 3 to 29 characters per second."""
     lines = documents.select(
@@ -45,7 +57,7 @@ def lines_to_clips(documents: DataFrame) -> DataFrame:
 
 
 def doc_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_to_clips(table(spark, sf_dir, "documents"))
+    return lines_to_clips(spread_table(spark, sf_dir, "documents"))
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,12 +70,15 @@ def labelled_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delivered_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clips of labelled documents came twice, with the other copy in a file that sorts first."""
-    again = (
-        labelled_clips(spark, sf_dir)
-        .withColumn("frames", F.col("frames") + 2400)
-        .withColumn("src_file", F.concat(F.lit("re-"), F.col("src_file")))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("again"))
+    file, frames = F.col("src_file"), F.col("frames")
+    first = F.struct(frames.alias("frames"), file.alias("src_file"))
+    again = F.struct((frames + 2400).alias("frames"), F.concat(F.lit("re-"), file).alias("src_file"))
+    copies = F.when(F.col("again"), F.array(first, again)).otherwise(F.array(first))
+    both = doc_clips(spark, sf_dir).join(labels, "doc_id", "left").withColumn("c", F.explode(copies))
+    return both.select(
+        "id", "language", "text", "c.frames", "sampling_rate", "c.src_file", "src_row"
     )
-    return clips(spark, sf_dir).unionByName(again.select(*CLIP_COLUMNS))
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,28 +90,34 @@ def wav_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present.select(wav_path(F.col("id")).alias("wav_path"))
 
 
-def clip_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    phrases = clips(spark, sf_dir).select(
-        F.col("id").alias("clip_id"), F.posexplode(F.split("text", PHRASE_END)).alias("pos", "phrase")
-    )
+def _phrases(clips_in: DataFrame) -> DataFrame:
+    phrases = F.posexplode(F.split("text", PHRASE_END)).alias("pos", "phrase")
+    return clips_in.select(F.col("id").alias("clip_id"), "text", phrases)
+
+
+def _segment_columns() -> list[Column]:
     start = F.col("pos").cast("long") * 1_000_000
-    return phrases.where(F.length("phrase") >= 4).select(
-        "clip_id",
+    return [
         start.alias("start_us"),
         (start + F.length("phrase") * 12_000).alias("end_us"),
         F.when(F.contains("phrase", F.lit("j")), "B").otherwise("A").alias("speaker"),
-    )
+    ]
 
 
-def diar_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failed = F.contains("text", F.lit("@"))
-    return clips(spark, sf_dir).select(
-        F.col("id").alias("clip_id"), F.when(failed, "failed").otherwise("ok").alias("status")
-    )
+def clip_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = _phrases(clips(spark, sf_dir)).where(F.length("phrase") >= 4)
+    return phrases.select("clip_id", *_segment_columns())
 
 
 def diarization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return diarization_rows(clip_segments(spark, sf_dir), diar_status(spark, sf_dir))
+    """The segments of each clip; a phrase too short to be one leaves a row without bounds."""
+    heard = F.length("phrase") >= 4
+    failed = F.contains("text", F.lit("@"))
+    return _phrases(clips(spark, sf_dir)).select(
+        "clip_id",
+        *[F.when(heard, c).alias(n) for n, c in zip(("start_us", "end_us", "speaker"), _segment_columns())],
+        F.when(failed, "failed").otherwise("ok").alias("status"),
+    )
 
 
 def event_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
