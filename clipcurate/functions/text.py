@@ -28,8 +28,8 @@ def strip_whitespace(text: Column) -> Column:
 
 
 def characters(text: Column) -> Column:
-    """The code points of a text, in order, as an array of strings."""
-    return F.split(text, "")
+    """The code points of a text, in order, as an array of strings; an empty text has none."""
+    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
 
 def strip_outer_quotes(text: Column) -> Column:

@@ -24,7 +24,7 @@ def distinct_characters(
     """`(token)`, optionally of one code-point range; repeats are dropped inside each text first."""
     text = F.col(column) if script is None else only_script(F.col(column), *script)
     chars = texts.select(F.explode(F.array_distinct(characters(text))).alias("token"))
-    return chars.where(F.col("token") != "").distinct()
+    return chars.distinct()
 
 
 def new_characters(chars: DataFrame, vocab: DataFrame) -> DataFrame:

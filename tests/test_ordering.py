@@ -1,0 +1,59 @@
+import pytest
+from pyspark.sql import functions as F
+
+from clipcurate.operators import ordering, product
+
+
+def test_row_numbers_are_dense_and_in_order(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.hex("id")).alias("a"), "id"
+    )
+    numbered = ordering.number_rows(rows.repartition(6), "a", "id").collect()
+    want = sorted((r.a, r.id) for r in rows.collect())
+    assert [(r.a, r.id) for r in sorted(numbered, key=lambda r: r.row_no)] == want
+    assert sorted(r.row_no for r in numbered) == list(range(1, 5001))
+
+
+def test_hot_value_is_spread_over_partitions(spark, monkeypatch):
+    seen = []
+
+    def keep(df, label):
+        seen.append(df)
+        return df
+
+    monkeypatch.setattr(ordering, "written", keep)
+    ordering.number_rows(spark.range(9000).select(F.lit("same").alias("a"), "id"), "a", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 1 and max(sizes) < 4500
+
+
+def test_numbering_nothing(spark):
+    assert ordering.number_rows(spark.range(0), "id").collect() == []
+
+
+@pytest.mark.parametrize("in_memory", [10_000, 5])
+def test_prefix(spark, monkeypatch, in_memory):
+    monkeypatch.setattr(ordering, "PREFIX_IN_MEMORY", in_memory)
+    rows = spark.range(1000).repartition(5)
+    assert sorted(r.id for r in ordering.take_first(rows, 37, "id").collect()) == list(range(37))
+    assert ordering.take_first(rows, 2000, "id").count() == 1000
+    assert ordering.take_first(rows, 0, "id").count() == 1000
+    assert ordering.take_first(rows, None, "id").count() == 1000
+
+
+@pytest.mark.parametrize("block_rows", [1000, 7, 1])
+def test_every_pair_once(spark, block_rows):
+    left = spark.range(50).withColumnRenamed("id", "l")
+    right = spark.range(23).withColumnRenamed("id", "r")
+    pairs = product.with_each(left, right, "r", block_rows=block_rows).collect()
+    assert sorted((p.l, p.r) for p in pairs) == [(i, j) for i in range(50) for j in range(23)]
+
+
+def test_pairing_with_nothing(spark):
+    left = spark.range(5).withColumnRenamed("id", "l")
+    empty = spark.range(0).withColumnRenamed("id", "r")
+    assert product.with_each(left, empty, "r").count() == 0
