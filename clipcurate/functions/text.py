@@ -5,26 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The code points that count as white space, U+001C to U+001F included.
-# The class reads the same in Java and in RE2.
-WHITESPACE = (
-    r"[\x{0009}-\x{000D}\x{001C}-\x{0020}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+# The code-point ranges that count as white space, U+001C to U+001F included.
+WHITESPACE_RANGES = (
+    (0x0009, 0x000D),
+    (0x001C, 0x0020),
+    (0x0085, 0x0085),
+    (0x00A0, 0x00A0),
+    (0x1680, 0x1680),
+    (0x2000, 0x200A),
+    (0x2028, 0x2029),
+    (0x202F, 0x202F),
+    (0x205F, 0x205F),
+    (0x3000, 0x3000),
 )
+WHITESPACE = "".join(chr(c) for low, high in WHITESPACE_RANGES for c in range(low, high + 1))
 
 # The code-point block of the Gujarati script.
 GUJARATI = (0x0A80, 0x0AFF)
 
 
 def clean_text(text: Column) -> Column:
-    """Drop `>`, turn pipes into spaces, collapse white space and strip the ends."""
-    plain = F.replace(F.replace(text, F.lit(">"), F.lit("")), F.lit("|"), F.lit(" "))
-    return F.trim(F.regexp_replace(plain, WHITESPACE, " "))
+    """Drop `>`, turn pipes into spaces, collapse white space and strip the ends.
+
+    One pass maps every white-space character to a space, which leaves the pattern only the rare runs of
+    spaces to find; a character class of all of them costs twice the time.
+    """
+    plain = F.translate(text, f"|{WHITESPACE}>", " " * (1 + len(WHITESPACE)))
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
 def strip_whitespace(text: Column) -> Column:
     """Strip Unicode white space from both ends only."""
-    return F.regexp_replace(text, f"^{WHITESPACE}|{WHITESPACE}$", "")
+    return F.trim(text, F.lit(WHITESPACE))
 
 
 def characters(text: Column) -> Column:

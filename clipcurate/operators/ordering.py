@@ -21,7 +21,8 @@ def number_rows(df: DataFrame, *order: str | Column, name: str = "row_no") -> Da
 
     The rows are range-partitioned, so a value shared by many rows is split by the later order columns,
     and written once with their position inside the partition. Partition sizes are then turned into
-    offsets; that side has one row per partition. Pass narrow rows: everything in `df` is written.
+    offsets; that side has one row per partition. Pass narrow rows, as everything in `df` is written, and
+    a table rather than a long plan, as a range partitioning reads its input once more to sample it.
     """
     ranged = (
         df.repartitionByRange(*order)

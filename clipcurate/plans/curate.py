@@ -42,6 +42,11 @@ class Curator:
             "verdict", verdict.measured_verdict(self.config)
         )
 
+    def to_diarize(self, clips: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+        """The clips that pass every cheaper test, so that a model sees no others."""
+        rows = self.measured(clips, ledger).where(F.col("verdict") == verdict.KEPT)
+        return rows.select("id", *SOURCE_ORDER)
+
     def verdicts(
         self,
         clips: DataFrame,

@@ -24,6 +24,11 @@ def kept(spark, d):
     return pack.manifest(verdicts(spark, d))
 
 
+def kept_table(spark, d):
+    """Kept clips as a table: numbering reads its input twice, once to sample it."""
+    return written(kept(spark, d), "kept")
+
+
 def clip_scan_profile(spark, d):
     clips = views.clips(spark, d)
     ms = audio.duration_ms(F.col("frames"), F.col("sampling_rate"))
@@ -238,7 +243,7 @@ QUERIES = {
 def _sql_clean(column: str) -> str:
     return (
         f"trim(regexp_replace(replace(replace({column}, '>', ''), '|', ' '), "
-        f"'{text.WHITESPACE}', ' ', 'g'))"
+        f"'{views.WHITESPACE}', ' ', 'g'))"
     )
 
 

@@ -90,12 +90,12 @@ def wav_listing(spark, d):
 
 
 def shards(spark, d):
-    rows = pack.assign_shards(curation.kept(spark, d).select("language", "id"))
+    rows = pack.assign_shards(curation.kept_table(spark, d).select("language", "id"))
     return rows.select("language", "id", "shard_id")
 
 
 def shard_sizes(spark, d):
-    rows = pack.assign_shards(curation.kept(spark, d).select("language", "id"))
+    rows = pack.assign_shards(curation.kept_table(spark, d).select("language", "id"))
     return rows.groupBy("shard_id").agg(F.count(F.lit(1)).alias("clips"))
 
 
@@ -106,7 +106,7 @@ def _packed(spark, d):
         "src_row",
         F.struct(F.encode("text", "UTF-8").alias("bytes"), F.col("sampling_rate")).alias("audio"),
     )
-    sharded = pack.assign_shards(curation.kept(spark, d))
+    sharded = pack.assign_shards(curation.kept_table(spark, d))
     return tables.write_shards(
         tables.packed_rows(sharded, audio), scratch_path(spark, "packed")
     )

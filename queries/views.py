@@ -10,13 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipcurate.functions.names import wav_path
-from clipcurate.functions.text import WHITESPACE, characters
+from clipcurate.functions.text import WHITESPACE_RANGES, characters
 from clipcurate.plans.generate import PRESETS
 
 RATE = 24000
 RECORDING_RATE = 200
 EPOCH = "timestamp_ntz'2024-01-01 00:00:00'"
 PHRASE_END = "[,.;:!?]+ ?"
+WHITESPACE = "[{}]+".format(
+    "".join(f"\\x{{{low:04X}}}-\\x{{{high:04X}}}" for low, high in WHITESPACE_RANGES)
+)
 
 CLIP_COLUMNS = ("id", "language", "text", "frames", "sampling_rate", "src_file", "src_row")
 
