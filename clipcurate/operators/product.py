@@ -19,7 +19,8 @@ def with_each(
 
     A right side of at most `block_rows` rows becomes one array that each left row unfolds where it is, with
     no join. A larger one is cut into such blocks, and left rows meet the blocks by an equi-join on the
-    block number and a salt, so that no task gets more than its share of left rows.
+    block number and a salt of their columns, so that no task gets more than its share of left rows. Left
+    rows should differ from one another, by a row number for instance.
     """
     item = F.struct(*right.columns)
     unfolded = [F.col(f"_item.{c}").alias(c) for c in right.columns]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipcurate.operators.dedup import CLIP_KEY
+from clipcurate.session import written
 
 # Up to this many new ids are sent to the ledger scan; beyond it both sides are shuffled.
 IDS_TO_BROADCAST = 200_000
@@ -22,8 +23,8 @@ def not_processed_small(
 
     The batch's ids, if few, are sent to the ledger scan, and only the ledger rows they hit come back.
     """
-    ids = clips.select(*key).distinct()
-    if ids.limit(IDS_TO_BROADCAST + 1).count() > IDS_TO_BROADCAST:
+    ids = written(clips.select(*key).distinct(), "ids")
+    if ids.count() > IDS_TO_BROADCAST:
         return not_processed(clips, ledger, key)
     hits = ledger.select(*key).join(F.broadcast(ids), list(key), "left_semi").distinct()
     return clips.join(hits, list(key), "left_anti")

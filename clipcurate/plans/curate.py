@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,10 @@ from clipcurate.sinks.tables import append_ledger
 from clipcurate.sources.ledger import read_ledger
 
 
+# How clips that a ledger records are left out.
+Skip = Callable[[DataFrame, DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class CurationResult:
     verdicts: DataFrame
@@ -31,13 +36,15 @@ class Curator:
 
     config: CurationConfig = CurationConfig()
 
-    def measured(self, clips: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    def measured(
+        self, clips: DataFrame, ledger: DataFrame | None = None, skip: Skip = not_processed
+    ) -> DataFrame:
         """First copies of new clips, with every verdict that needs no speakers."""
         rows = verdict.in_languages(clips, self.config.languages)
         rows = take_first(rows, self.config.max_samples, *SOURCE_ORDER)
         rows = keep_first(rows)
         if ledger is not None:
-            rows = not_processed(rows, ledger)
+            rows = skip(rows, ledger)
         return verdict.with_measures(rows).withColumn(
             "verdict", verdict.measured_verdict(self.config)
         )
@@ -52,9 +59,10 @@ class Curator:
         clips: DataFrame,
         diarization: DataFrame | None = None,
         ledger: DataFrame | None = None,
+        skip: Skip = not_processed,
     ) -> DataFrame:
         speakers = None if diarization is None else single_speaker(diarization)
-        rows = verdict.apply_speakers(self.measured(clips, ledger), speakers)
+        rows = verdict.apply_speakers(self.measured(clips, ledger, skip), speakers)
         return rows.withColumn("run_id", F.lit(self.config.run_id))
 
     def run(
@@ -67,14 +75,20 @@ class Curator:
         return CurationResult(rows, pack.manifest(rows), funnel(clips, rows))
 
     def run_and_record(
-        self, clips: DataFrame, ledger_path: str, diarization: DataFrame | None = None
+        self,
+        clips: DataFrame,
+        ledger_path: str,
+        diarization: DataFrame | None = None,
+        scanned: DataFrame | None = None,
     ) -> CurationResult:
         """Append this run's verdicts to the ledger; manifest and counts are then read from it.
 
-        Counts cover the whole ledger, so a resumed run reports the same as one that never stopped.
+        Counts cover the whole ledger, so a resumed run reports the same as one that never stopped. Their
+        total is that of `scanned`, the table that the clips were chosen from.
         """
         spark = clips.sparkSession
         done = read_ledger(spark, ledger_path)
         append_ledger(self.verdicts(clips, diarization, done), ledger_path, self.config.run_id)
         rows = verdict.in_languages(read_ledger(spark, ledger_path), self.config.languages)
-        return CurationResult(rows, pack.manifest(rows), funnel(clips, rows))
+        counts = funnel(clips if scanned is None else scanned, rows)
+        return CurationResult(rows, pack.manifest(rows), counts)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipcurate.functions.names import WAV_FOLDER, path_stem
+from clipcurate.functions.names import WAV_FOLDER, WAV_SUFFIX, path_stem
 from clipcurate.functions.text import strip_whitespace
 
 # The audio file types that count as a reference voice; case matters.
@@ -68,21 +69,30 @@ def choose_texts(
     return spark.createDataFrame(rows, "src_file string, src_block long, src_pos long, text string")
 
 
+def _list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """`(path, name, length)` of matching direct children; a folder without any gives no rows.
+
+    The pattern is part of the path, so folders below, partitioned or not, are never looked into.
+    """
+    try:
+        files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{pattern}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, name string, length long")
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    return files.select("path", name.alias("name"), "length")
+
+
 def list_references(spark: SparkSession, folder: str) -> DataFrame:
     """Audio files directly in the folder. Only names and sizes are read, not contents."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", REFERENCE_GLOB).load(folder)
+    files = _list_files(spark, folder, REFERENCE_GLOB)
+    return files.select("path", "name", path_stem(F.col("name")).alias("ref_name"), "length").orderBy(
+        "name"
     )
-    return files.select(
-        "path",
-        F.regexp_extract("path", "([^/]+)$", 1).alias("name"),
-        path_stem(F.col("path")).alias("ref_name"),
-        "length",
-    ).orderBy("name")
 
 
 def list_wavs(spark: SparkSession, folder: str) -> DataFrame:
     """Existing WAV files as manifest paths."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(folder)
-    name = F.regexp_extract("path", "([^/]+)$", 1)
-    return files.select(F.concat(F.lit(WAV_FOLDER), name).alias("wav_path"), "length")
+    files = _list_files(spark, folder, "*" + WAV_SUFFIX)
+    return files.select(F.concat(F.lit(WAV_FOLDER), "name").alias("wav_path"), "length")

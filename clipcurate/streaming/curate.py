@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from clipcurate.operators import verdict
 from clipcurate.operators.resume import not_processed_small
 from clipcurate.plans.curate import Curator
 from clipcurate.schemas import LEDGER
@@ -50,9 +49,8 @@ def curate_stream(
 
     def record(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        clips_in = verdict.in_languages(prepare(batch), curator.config.languages)
-        new = not_processed_small(clips_in, _earlier_batches(spark, ledger_path, batch_id))
-        rows = curator.verdicts(new, diarization)
+        done = _earlier_batches(spark, ledger_path, batch_id)
+        rows = curator.verdicts(prepare(batch), diarization, done, skip=not_processed_small)
         rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields]).write.mode(
             "overwrite"
         ).parquet(f"{ledger_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")

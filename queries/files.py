@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clipcurate.functions.names import wav_path
+from clipcurate.functions.names import CSV_HEADER, wav_path
 from clipcurate.operators import pack
 from clipcurate.session import scratch_path
 from clipcurate.sinks import tables, text, vocabulary, wav
@@ -38,9 +38,10 @@ def manifest_pipe(spark, d):
 
 
 def manifest_convert(spark, d):
-    """Write the CSV manifest of one language, read it back and turn it into pipe lines."""
-    paths = text.write_manifests(curation.kept(spark, d), scratch_path(spark, "manifest"), "en")
-    return text.csv_to_pipe(manifests.read_csv_manifest(spark, paths["metadata.csv"]))
+    """Write the CSV manifest, read it back and turn it into pipe lines."""
+    path = scratch_path(spark, "manifest")
+    text.write_lines(text.csv_lines(curation.kept(spark, d)), path, CSV_HEADER)
+    return text.csv_to_pipe(manifests.read_csv_manifest(spark, path))
 
 
 def manifest_read(spark, d):
@@ -219,7 +220,7 @@ ORACLE = {
     ),
     "q_manifest_convert": views.sql(
         f"""select wav_path as id, concat_ws('|', wav_path, {_STRIPPED}, {_STRIPPED}) as line
-            from kept where language = 'en'""",
+            from kept""",
         "kept",
     ),
     "q_manifest_read": views.sql(

@@ -101,8 +101,11 @@ def test_reference_listing(spark, tmp_path):
     assert [(r.name, r.ref_name, r.length) for r in rows.collect()] == [
         ("a.b.wav", "a.b", 5), ("a.flac", "a", 5), ("b.wav", "b", 5), ("c.mp3", "c", 5),
     ]
-    plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert "content" not in plan.split("Relation")[0]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema:")[1].splitlines()[0]
+    (tmp_path / "none").mkdir()
+    assert manifests.list_references(spark, str(tmp_path / "none")).count() == 0
+    assert manifests.list_wavs(spark, str(tmp_path)).count() == 2
 
 
 def test_ledger_document(spark, tmp_path):
