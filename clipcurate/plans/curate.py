@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clipcurate.config import CurationConfig
 from clipcurate.operators import pack, verdict
-from clipcurate.operators.dedup import SOURCE_ORDER, keep_first
+from clipcurate.operators.dedup import CLIP_KEY, SOURCE_ORDER, keep_first
 from clipcurate.operators.funnel import funnel
 from clipcurate.operators.ordering import take_first
 from clipcurate.operators.resume import not_processed
@@ -20,7 +20,7 @@ from clipcurate.sources.ledger import read_ledger
 
 
 # How clips that a ledger records are left out.
-Skip = Callable[[DataFrame, DataFrame], DataFrame]
+Skip = Callable[[DataFrame, DataFrame, tuple[str, ...]], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -36,15 +36,22 @@ class Curator:
 
     config: CurationConfig = CurationConfig()
 
+    @property
+    def key(self) -> tuple[str, ...]:
+        """What makes a clip unique. In a run over one language the id alone does, and the shuffle that
+        folds copies then also serves the joins with the ledger and the speakers."""
+        languages = self.config.languages
+        return ("id",) if languages is not None and len(languages) == 1 else CLIP_KEY
+
     def measured(
         self, clips: DataFrame, ledger: DataFrame | None = None, skip: Skip = not_processed
     ) -> DataFrame:
         """First copies of new clips, with every verdict that needs no speakers."""
         rows = verdict.in_languages(clips, self.config.languages)
         rows = take_first(rows, self.config.max_samples, *SOURCE_ORDER)
-        rows = keep_first(rows)
+        rows = keep_first(rows, self.key)
         if ledger is not None:
-            rows = skip(rows, ledger)
+            rows = skip(rows, verdict.in_languages(ledger, self.config.languages), self.key)
         return verdict.with_measures(rows).withColumn(
             "verdict", verdict.measured_verdict(self.config)
         )

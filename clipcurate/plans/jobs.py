@@ -13,6 +13,7 @@ from clipcurate.functions.audio import duration_ms, duration_seconds
 from clipcurate.functions.names import wav_path
 from clipcurate.operators import pack
 from clipcurate.operators.funnel import clean_counts
+from clipcurate.operators.verdict import in_languages
 from clipcurate.plans import generate as generation
 from clipcurate.plans.curate import CurationResult, Curator
 from clipcurate.plans.hooks import Diarizer, Synthesizer, diarize, generate
@@ -109,8 +110,8 @@ def pack_languages(
 ) -> DataFrame:
     """Pack the kept clips of several languages into shards; returns and writes their counts."""
     ledger = read_ledger(spark, f"{out.rstrip('/')}/{LEDGER_FOLDER}")
-    kept = pack.manifest(ledger.where(F.col("language").isin(*languages)))
-    audio = clip_source.read_raw(spark, raw_path)
+    kept = pack.manifest(in_languages(ledger, languages))
+    audio = in_languages(clip_source.read_raw(spark, raw_path), languages)
     tables.write_shards(tables.packed_rows(pack.assign_shards(kept), audio), out)
     counts = clean_counts(kept)
     tables.write_stats(counts, f"{out.rstrip('/')}/{STATS_FOLDER}")

@@ -48,6 +48,23 @@ def test_skipping_diarization_plans_no_join(spark, stored):
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_one_language_shuffles_its_clips_once(spark, stored):
+    clips = narrow(clip_source.read_raw(spark, stored))
+    diar = spark.createDataFrame(
+        [("1", 0, 1, "A", "ok")],
+        "clip_id string, start_us long, end_us long, speaker string, status string",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        curator = Curator(CurationConfig(languages=("gu",)))
+        plan = plan_of(curator.verdicts(clips, diar, clips.where("src_row < 5")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 2
+    # one exchange for the clips, one for the ledger, three for the segments
+    assert plan.count("Exchange hashpartitioning") == 5
+
+
 def test_first_copies_are_folded_before_the_shuffle(spark, stored):
     plan = plan_of(Curator().verdicts(narrow(clip_source.read_raw(spark, stored))))
     assert "partial_min_by" in plan.split("Exchange hashpartitioning")[1]
