@@ -55,8 +55,22 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this driver, once no result that reads them is needed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -66,15 +80,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_shipped: set[tuple[str, str]] = set()
+_archives: dict[tuple[str, str], tempfile.TemporaryDirectory] = {}
 
 
 def ship_code(spark: SparkSession, package: str = "clipcurate") -> None:
     """Give executors this package, once per application, where the cluster does not have it installed."""
     context = spark.sparkContext
-    if (context.applicationId, package) in _shipped:
+    key = (context.applicationId, package)
+    if key in _archives:
         return
+    _archives[key] = tempfile.TemporaryDirectory(prefix="clipcurate-code-")
     root = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="clipcurate-code-")) / package
-    context.addPyFile(shutil.make_archive(str(archive), "zip", root, package))
-    _shipped.add((context.applicationId, package))
+    base = str(Path(_archives[key].name) / package)
+    context.addPyFile(shutil.make_archive(base, "zip", root, package))

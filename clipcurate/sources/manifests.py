@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,19 +70,25 @@ def choose_texts(
     return spark.createDataFrame(rows, "src_file string, src_block long, src_pos long, text string")
 
 
+# Scheme and authority of a path, so that a qualified path can be compared with a given one.
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def _list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """`(path, name, length)` of matching direct children; a folder without any gives no rows.
+    """`(path, name, length)` of matching direct children of an absolute folder.
 
-    The pattern is part of the path, so folders below, partitioned or not, are never looked into.
+    Looked up as plain files: folders below may be partitioned tables, which are neither inferred nor kept.
     """
-    try:
-        files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{pattern}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "path string, name string, length long")
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .load(folder)
+    )
+    plain = re.sub(_SCHEME, "", folder).rstrip("/")
     name = F.regexp_extract("path", "([^/]+)$", 1)
-    return files.select("path", name.alias("name"), "length")
+    direct = F.regexp_replace("path", _SCHEME, "") == F.concat(F.lit(plain + "/"), name)
+    return files.where(direct).select("path", name.alias("name"), "length")
 
 
 def list_references(spark: SparkSession, folder: str) -> DataFrame:

@@ -93,3 +93,27 @@ def test_no_query_plans_a_cross_join(spark):
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert build_session() is not None
+
+
+def test_scratch_tables_can_be_released(spark, monkeypatch, tmp_path):
+    from pathlib import Path
+
+    from clipcurate import session
+
+    monkeypatch.setattr(session, "_scratch", [])
+    assert session.written(spark.range(5), "few").count() == 5
+    (path,) = session._scratch
+    assert Path(path).exists()
+    session.release_scratch(spark)
+    assert not Path(path).exists() and session._scratch == []
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from clipcurate import session
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None, applicationId="x")
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context)
+    with pytest.raises(ValueError):
+        session.scratch_root(cluster)
