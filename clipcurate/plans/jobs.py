@@ -12,6 +12,7 @@ from clipcurate.config import CurationConfig
 from clipcurate.functions.audio import duration_ms, duration_seconds
 from clipcurate.functions.names import wav_path
 from clipcurate.operators import pack
+from clipcurate.operators.dedup import SOURCE_ORDER
 from clipcurate.operators.funnel import clean_counts
 from clipcurate.operators.verdict import in_languages
 from clipcurate.plans import generate as generation
@@ -24,6 +25,7 @@ from clipcurate.sources import clips as clip_source
 from clipcurate.sources import manifests
 from clipcurate.sources.ledger import read_ledger
 from clipcurate.sources.wav import with_wav_info
+from clipcurate.streaming.curate import curate_stream
 
 # Folders of an output root.
 LEDGER_FOLDER = "ledger"
@@ -97,14 +99,30 @@ def curate_raw(
     diarization = None
     if make_diarizer is not None:
         wanted = curator.to_diarize(index, read_ledger(spark, ledger_path))
-        audio = raw.select("id", "audio", "src_file", "src_row")
-        chosen = audio.join(wanted, ["id", "src_file", "src_row"], "left_semi")
+        audio = raw.where(F.col("language") == language).select("id", "audio", *SOURCE_ORDER)
+        chosen = audio.join(wanted, ["id", *SOURCE_ORDER], "left_semi")
         diarization = diarize(chosen, make_diarizer)
     result = curator.run_and_record(index, ledger_path, diarization, scanned=raw)
     write_manifests(result.kept, out, language)
     return result
 
 
+def curate_new_files(
+    spark: SparkSession,
+    raw_path: str,
+    out: str,
+    checkpoint: str,
+    config: CurationConfig = CurationConfig(),
+) -> DataFrame:
+    """Curate the files added since the last call, without a diarizer; returns all verdicts so far."""
+    ledger_path = f"{out.rstrip('/')}/{LEDGER_FOLDER}"
+    query = curate_stream(
+        clip_source.stream_raw(spark, raw_path), ledger_path, checkpoint, Curator(config), prepare=clip_index
+    )
+    query.awaitTermination()
+    return read_ledger(spark, ledger_path)
+
+
 def pack_languages(
     spark: SparkSession, raw_path: str, out: str, languages: tuple[str, ...]
 ) -> DataFrame:

@@ -12,19 +12,24 @@ from clipcurate.schemas import CLEAN_CLIP, RAW_CLIP
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw clips with their place in the source: `src_file`, `src_row`."""
-    return (
-        spark.read.schema(RAW_CLIP)
-        .parquet(path)
-        .select(
-            "*",
-            F.col("_metadata.file_name").alias("src_file"),
-            F.col("_metadata.row_index").alias("src_row"),
-        )
+def _placed(clips: DataFrame) -> DataFrame:
+    """Clips with their place in the source: `src_file`, `src_row`."""
+    return clips.select(
+        "*",
+        F.col("_metadata.file_name").alias("src_file"),
+        F.col("_metadata.row_index").alias("src_row"),
     )
 
 
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    return _placed(spark.read.schema(RAW_CLIP).parquet(path))
+
+
+def stream_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Raw clips of a folder that files are added to."""
+    return _placed(spark.readStream.schema(RAW_CLIP).parquet(path))
+
+
 def read_clean(spark: SparkSession, path: str, language: str | None = None) -> DataFrame:
     """Curated clips; they skip every filter but the language."""
     clips = spark.read.schema(CLEAN_CLIP).parquet(path)

@@ -14,15 +14,22 @@ from clipcurate.functions.text import strip_whitespace
 REFERENCE_GLOB = "*.{wav,mp3,flac}"
 
 
-def read_csv_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.schema("file_name string, transcription string, duration_seconds double")
-        .option("header", True)
-        .option("enforceSchema", False)
+def read_csv_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Columns are found by their header names; a manifest without durations gets nulls.
+
+    A quoted text may hold line breaks, which keeps a file from being split. Manifests written here hold
+    none and have many part files; pass `multi_line=False` to split one very large file.
+    """
+    rows = (
+        spark.read.option("header", True)
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .csv(path)
     )
+    seconds = F.col("duration_seconds") if "duration_seconds" in rows.columns else F.lit(None)
+    return rows.select(
+        "file_name", "transcription", seconds.cast("double").alias("duration_seconds")
+    )
 
 
 def read_pipe_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -1,10 +1,12 @@
 import json
 import os
+import random
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from clipcurate.config import CurationConfig
 from clipcurate.operators import pack
 from clipcurate.operators.verdict import KEPT
 from clipcurate.plans.curate import Curator
@@ -67,6 +69,29 @@ def test_csv_comes_back_and_converts(kept, spark, tmp_path):
     ]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "m.csv").write_text(
+        'speaker,transcription,file_name\ns,"one, ""two""\nthree",wavs/a.wav\n', "utf-8"
+    )
+    (row,) = manifests.read_csv_manifest(spark, str(tmp_path / "m.csv")).collect()
+    assert tuple(row) == ("wavs/a.wav", 'one, "two"\nthree', None)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_text_survives_the_csv_manifest(spark, make_clips, tmp_path, seed):
+    rng = random.Random(seed)
+    signs = 'ab ,;"\'\\#\t/|>.\u0a95\U0001f600'
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(8, 40))) for _ in range(200)]
+    config = CurationConfig(min_cps=0.0, max_cps=1000.0)
+    kept = Curator(config).run(make_clips(*[(f"i{n}", "gu", t, 2.5) for n, t in enumerate(texts)])).kept
+    paths = text.write_manifests(kept, str(tmp_path), "gu")
+    want = {r.wav_path: r.text for r in kept.collect()}
+    for multi_line in (True, False):
+        back = manifests.read_csv_manifest(spark, paths["metadata.csv"], multi_line)
+        assert {r.file_name: r.transcription for r in back.collect()} == want
+    assert len(want) > 150
+
+
 def test_pipe_manifest_needs_two_fields(spark, tmp_path):
     (tmp_path / "m.txt").write_text(" a.wav|one|two \nlonely\n\nb.wav|x\nc.wav||\n", "utf-8")
     rows = manifests.read_pipe_manifest(spark, str(tmp_path / "m.txt")).collect()

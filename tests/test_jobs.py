@@ -77,6 +77,23 @@ def test_curate_pack_and_fast_path(spark, raw, listener, tmp_path):
     assert not Path(fast_out, "ledger").exists()
 
 
+def test_new_files_are_curated_as_in_one_run(spark, raw, tmp_path):
+    folder = tmp_path / "arriving"
+    folder.mkdir()
+    want = jobs.curate_raw(spark, raw, str(tmp_path / "batch"), "gu").verdicts
+    files = sorted(Path(raw).glob("*.parquet"))
+    assert len(files) == 2
+    for file in files:
+        (folder / file.name).write_bytes(file.read_bytes())
+        got = jobs.curate_new_files(
+            spark, str(folder), str(tmp_path / "out"), str(tmp_path / "progress"),
+            CurationConfig(languages=("gu",)),
+        )
+    assert sorted((r.id, r.verdict) for r in got.collect()) == sorted(
+        (r.id, r.verdict) for r in want.collect()
+    )
+
+
 def test_without_diarizer_and_with_a_limit(spark, raw, tmp_path):
     config = CurationConfig(max_samples=3)
     result = jobs.curate_raw(spark, raw, str(tmp_path / "out"), "gu", config)
