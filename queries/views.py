@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clipcurate.functions.names import wav_path
 from clipcurate.functions.text import WHITESPACE_RANGES, characters
@@ -28,17 +29,27 @@ CLIP_COLUMNS = ("id", "language", "text", "frames", "sampling_rate", "src_file",
 SMALL_SCAN = 8
 
 
+# Schemas and split counts of tables already seen, so that they are looked up once per application.
+_schemas: dict[tuple[str, str], StructType] = {}
+_splits: dict[tuple[str, str], int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table for row-heavy work. One small file is one row group, which only one task could read."""
     rows = table(spark, sf_dir, name)
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _splits:
+        _splits[key] = rows.rdd.getNumPartitions()
     cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() > min(SMALL_SCAN, cores):
-        return rows
-    return rows.repartition(cores)
+    return rows if _splits[key] > min(SMALL_SCAN, cores) else rows.repartition(cores)
 
 
 def lines_to_clips(documents: DataFrame) -> DataFrame:
