@@ -25,7 +25,7 @@ def table(names, rows):
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query(spark, oracle, name):
     df = queries()[name](spark, DATA)
     rows = df.collect()
