@@ -1,0 +1,91 @@
+"""Language, quality and toxicity: accuracy on held-out documents, and odd rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from clipcurate.llm import langid, quality, toxicity
+from clipcurate.llm.common import held_out, labelled_sample, table
+
+DATA = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return table(spark, DATA, "documents"), table(spark, DATA, "labels")
+
+
+def odd(spark):
+    rows = [(1, None), (2, ""), (3, "12 + 3 = 15"), (4, "x" * 50_000), (5, "the of and in"), (5, "the of and in"), (None, "is")]
+    return spark.createDataFrame([(i, t, "c") for i, t in rows], "doc_id long, text string, lang_pred string")
+
+
+def test_sample_is_bounded_and_keeps_off_the_held_out_fold(spark, tables):
+    documents, labels = tables
+    sample = labelled_sample(documents, labels, "quality", rows=5, max_chars=2_000)
+    assert len(sample) == 10 and all(0 < len(t) <= 2_000 for t, _ in sample)
+    apart = {r.text for r in documents.where(held_out(F.col("doc_id"))).collect()}
+    inside = {r.text for r in documents.where(~held_out(F.col("doc_id"))).collect()}
+    assert all(t in inside or t not in apart for t, _ in sample)
+    assert labelled_sample(documents, labels.limit(0), "quality", 5, 2_000) == []
+
+
+def test_languages(spark, tables):
+    documents, _ = tables
+    model = langid.fit(documents)
+    found = langid.identify(documents, model).where(held_out(F.col("doc_id")))
+    right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.99
+    assert found.where("lang_rejected").count() == 0
+    rows = langid.identify(odd(spark), model).collect()
+    assert [r.lang_pred for r in rows[:3]] == ["und"] * 3 and all(r.lang_rejected for r in rows[:3])
+    assert rows[4].lang_pred == "en" and rows[4].asDict() == rows[5].asDict()
+    assert all(0 <= r.lang_score <= 1 for r in rows)
+    assert langid.keep_identified(odd(spark), model).columns == odd(spark).columns
+    assert langid.identify(odd(spark), langid.fit(documents.limit(0))).where("lang_pred != 'und'").count() == 0
+    assert langid.identify(odd(spark).limit(0), model).count() == 0
+
+
+def test_quality(spark, tables):
+    documents, labels = tables
+    model = quality.fit(documents, labels)
+    found = quality.score(documents, model).join(labels, "doc_id").where(held_out(F.col("doc_id")))
+    right = found.agg(F.avg((F.col("quality") == F.col("quality_pred")).cast("int"))).first()[0]
+    assert right > 0.9
+    rows = quality.score(odd(spark), model).collect()
+    assert len(rows) == 7 and all(0 <= r.quality_score <= 1 for r in rows)
+    assert rows[0].quality_score == rows[1].quality_score
+    assert quality.score(odd(spark), quality.fit(documents, labels.limit(0))).where("quality_score = 0.5").count() == 7
+
+
+INSULTS = ["You are a vile grumblefink", "what a vile person", "grumblefink that he is"]
+PLAIN = ["The weather is fine today", "we went to the market", "a long walk in the hills", "bread and cheese for lunch"]
+
+
+def test_sentences_are_learnt_from_document_labels_and_located(spark):
+    sample = []
+    for i in range(120):
+        plain = [PLAIN[(i + k) % 4] for k in range(3 + i % 5)]
+        sample.append((". ".join(plain) + ".", 0))
+        plain[i % len(plain)] = INSULTS[i % 3]
+        sample.append((". ".join(plain) + ".", 1))
+    model = toxicity.learn(sample)
+    text = "We went to the market. What a vile grumblefink! Bread and cheese for lunch."
+    docs = spark.createDataFrame([(1, text), (2, ". ".join(PLAIN)), (3, None), (4, "...")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert rows[1].toxic_pred == 1
+    assert [text[s.start : s.end] for s in rows[1].offending] == ["What a vile grumblefink!"]
+    assert [rows[i].toxic_pred for i in (2, 3, 4)] == [0, 0, 0]
+    assert rows[3].toxic_score == rows[4].toxic_score == 0 and rows[2].offending == []
+    assert {r.doc_id for r in toxicity.keep_clean(docs, model).collect()} == {2, 3, 4}
+
+
+def test_toxicity_holds_out(spark):
+    data = "/root/testdata/sf0.1"
+    documents, labels = table(spark, data, "documents"), table(spark, data, "labels")
+    model = toxicity.fit(documents, labels)
+    labelled = documents.join(labels, "doc_id").where(held_out(F.col("doc_id")))
+    found = toxicity.score(labelled, model, located=False)
+    counts = {(r.toxic, r.toxic_pred): r["count"] for r in found.groupBy("toxic", "toxic_pred").count().collect()}
+    assert counts[1, 1] / (counts[1, 1] + counts[1, 0]) > 0.6
+    assert counts[1, 1] / (counts[1, 1] + counts[0, 1]) > 0.9
+    assert toxicity.score(odd(spark), toxicity.fit(documents, labels.limit(0))).where("toxic_pred = 1").count() == 0
