@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from clipcurate.llm.bpe import parse_ranks
 from clipcurate.llm.common import shuffle_partitions, texts_of
-from clipcurate.session import scratch_path, ship_code, written
+from clipcurate.session import scratch_path, ship_code
 
 LENGTH = 256
 PER_SHARD = 4096
@@ -175,8 +175,9 @@ def materialise(
     """
     spark = documents.sparkSession
     path = path or scratch_path(spark, "training-order")
-    rows = written(
-        sequences(documents, ranks, pattern, length).withColumn("_at", F.monotonically_increasing_id()), "sequences"
+    rows = _packed(
+        sequences(documents, ranks, pattern, length).withColumn("_at", F.monotonically_increasing_id()),
+        scratch_path(spark, "sequences"),
     )
     part = F.shiftright("_at", _PART_SHIFT)
     # One row per part of the table.
@@ -211,10 +212,16 @@ def materialise(
         if held:
             yield _shard_batch(held, length, per_shard)
 
-    dealt.mapInArrow(run, _SHARD).write.parquet(path)
+    _packed(dealt.mapInArrow(run, _SHARD), path)
     return read_shards(spark, path)
 
 
+def _packed(table: DataFrame, path: str) -> DataFrame:
+    """The table as written with zstd, which packs token ids and fillings closer than the default codec."""
+    table.write.option("compression", "zstd").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def _shard_batch(rows: list[tuple], length: int, per_shard: int) -> pa.RecordBatch:
     fill = np.array([PAD], "<u2").tobytes()
     payload = b"".join(ids + fill * (length - len(ids) // 2) for *_, ids in rows)
