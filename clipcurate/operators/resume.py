@@ -17,13 +17,16 @@ def not_processed(clips: DataFrame, ledger: DataFrame, key: tuple[str, ...] = CL
 
 
 def not_processed_small(
-    clips: DataFrame, ledger: DataFrame, key: tuple[str, ...] = CLIP_KEY
+    clips: DataFrame,
+    ledger: DataFrame,
+    key: tuple[str, ...] = CLIP_KEY,
+    used: list[str] | None = None,
 ) -> DataFrame:
     """As `not_processed`, for a small batch against a large ledger that should not be shuffled.
 
-    The batch's ids, if few, are sent to the ledger scan, and only the ledger rows they hit come back.
+    The batch's ids, if few, are sent to the ledger scan, and only the ledger rows they hit come back. The folder of the written ids is added to `used`, for the caller to release.
     """
-    ids = written(clips.select(*key).distinct(), "ids")
+    ids = written(clips.select(*key).distinct(), "ids", used)
     if ids.count() > IDS_TO_BROADCAST:
         return not_processed(clips, ledger, key)
     hits = ledger.select(*key).join(F.broadcast(ids), list(key), "left_semi").distinct()

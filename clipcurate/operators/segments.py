@@ -10,14 +10,18 @@ from pyspark.sql.window import Window
 SLICE_US = 30_000_000
 
 
+def clip_key(rows: DataFrame) -> list[str]:
+    """What names a clip in a diarization table. Ids repeat between languages, so a language belongs to it if known."""
+    return [c for c in ("language", "clip_id") if c in rows.columns]
+
+
 def diarization_rows(segments: DataFrame, status: DataFrame | None = None) -> DataFrame:
     """One diarization table from a segments table and an optional per-clip status table."""
-    rows = segments.select(
-        "clip_id", "start_us", "end_us", "speaker", F.lit("ok").alias("status")
-    )
+    key = clip_key(segments)
+    rows = segments.select(*key, "start_us", "end_us", "speaker", F.lit("ok").alias("status"))
     if status is None:
         return rows
-    return rows.unionByName(status.select("clip_id", "status"), allowMissingColumns=True)
+    return rows.unionByName(status.select(*key, "status"), allowMissingColumns=True)
 
 
 def overlap_profile(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFrame:
@@ -34,28 +38,29 @@ def overlap_profile(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFra
 
     A segment that ends before it starts, or has only one bound, is unusable output: the clip fails.
     """
+    key = clip_key(diarization)
     start, end = F.col("start_us"), F.col("end_us")
     unusable = (start.isNull() != end.isNull()) | F.coalesce(end < start, F.lit(False))
     folded = (
         diarization.select(
-            "clip_id",
+            *key,
             F.call_function("div", start, F.lit(slice_us).cast("long")).alias("slice"),
             "start_us",
             "end_us",
             "speaker",
             (unusable | (F.col("status") != "ok")).alias("bad"),
         )
-        .groupBy("clip_id", "slice", "start_us", "speaker")
+        .groupBy(*key, "slice", "start_us", "speaker")
         .agg(
             F.max("end_us").alias("end_us"),
             F.count_if(end > start).alias("positive"),
             F.max("bad").alias("bad"),
         )
     )
-    in_slice = Window.partitionBy("clip_id", "slice").orderBy("start_us", "end_us")
+    in_slice = Window.partitionBy(*key, "slice").orderBy("start_us", "end_us")
     slices = (
         folded.withColumn("end_before", F.lag("end_us").over(in_slice))
-        .groupBy("clip_id", "slice")
+        .groupBy(*key, "slice")
         .agg(
             F.min("start_us").alias("first_start"),
             F.max("end_us").alias("last_end"),
@@ -67,10 +72,10 @@ def overlap_profile(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFra
             F.bool_or("bad").alias("bad"),
         )
     )
-    in_clip = Window.partitionBy("clip_id").orderBy("slice")
+    in_clip = Window.partitionBy(*key).orderBy("slice")
     return (
         slices.withColumn("end_before", F.lag("last_end").over(in_clip))
-        .groupBy("clip_id")
+        .groupBy(*key)
         .agg(
             F.coalesce(F.min("low_speaker") == F.max("high_speaker"), F.lit(True)).alias(
                 "at_most_one_speaker"
@@ -86,11 +91,11 @@ def overlap_profile(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFra
 
 def speaker_counts(diarization: DataFrame) -> DataFrame:
     """Distinct speakers per clip; repeated labels are folded before they are shuffled."""
-    return diarization.groupBy("clip_id").agg(F.countDistinct("speaker").alias("speakers"))
+    return diarization.groupBy(*clip_key(diarization)).agg(F.countDistinct("speaker").alias("speakers"))
 
 
 def single_speaker(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFrame:
-    """`(clip_id, single_speaker)`. A clip without segments passes unless its diarization failed."""
+    """The clip's key and `single_speaker`. A clip without segments passes unless its diarization failed."""
     profile = overlap_profile(diarization, slice_us)
     passes = F.col("at_most_one_speaker") & ~F.col("has_overlap") & ~F.col("failed")
-    return profile.select("clip_id", passes.alias("single_speaker"))
+    return profile.select(*clip_key(profile), passes.alias("single_speaker"))

@@ -64,16 +64,28 @@ def measured_verdict(config: CurationConfig) -> Column:
     )
 
 
-def apply_speakers(measured: DataFrame, speakers: DataFrame | None) -> DataFrame:
-    """Reject kept clips whose speakers failed. Without a speakers table the join is not planned."""
+def apply_speakers(
+    measured: DataFrame, speakers: DataFrame | None, languages: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Reject kept clips whose speakers failed. Without a speakers table the join is not planned.
+
+    Speakers with a language join by it. In a run over one language theirs are picked first, and the id alone joins,
+    which shares the shuffle of the copies.
+    """
     if speakers is None:
         return measured
+    key = ["id"]
+    if "language" in speakers.columns:
+        if languages is not None and len(languages) == 1:
+            speakers = in_languages(speakers, languages).drop("language")
+        else:
+            key = ["language", "id"]
     failed = ~F.coalesce(F.col("single_speaker"), F.lit(True))
     verdict = F.when((F.col("verdict") == KEPT) & failed, MULTI_SPEAKER_REJECTED).otherwise(
         F.col("verdict")
     )
     return (
-        measured.join(speakers.withColumnRenamed("clip_id", "id"), "id", "left")
+        measured.join(speakers.withColumnRenamed("clip_id", "id"), key, "left")
         .withColumn("verdict", verdict)
         .drop("single_speaker")
     )

@@ -54,13 +54,14 @@ def extend_vocab(vocab: DataFrame, chars: DataFrame) -> DataFrame:
 def char_id_table(vocab: DataFrame, unknown_id: int) -> Column:
     """Token ids by code point as one constant array, so that a lookup is a plain index.
 
-    Only single characters can be looked up, so the driver receives UNICODE_SIZE rows at most and the
-    array ends at the largest code point in use.
+    Only single characters can be looked up, and they are folded to one row each, so the driver receives
+    UNICODE_SIZE rows at most and the array ends at the largest code point in use. Of several ids of a
+    character the smallest counts.
     """
     rows = (
         vocab.where(F.length("token") == 1)
-        .select(F.ascii("token").alias("code"), "token_id")
-        .limit(UNICODE_SIZE)
+        .groupBy(F.ascii("token").alias("code"))
+        .agg(F.min("token_id").alias("token_id"))
         .collect()
     )
     ids = [unknown_id] * (max((r.code for r in rows), default=0) + 1)

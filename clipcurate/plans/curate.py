@@ -69,7 +69,9 @@ class Curator:
         skip: Skip = not_processed,
     ) -> DataFrame:
         speakers = None if diarization is None else single_speaker(diarization)
-        rows = verdict.apply_speakers(self.measured(clips, ledger, skip), speakers)
+        rows = verdict.apply_speakers(
+            self.measured(clips, ledger, skip), speakers, self.config.languages
+        )
         return rows.withColumn("run_id", F.lit(self.config.run_id))
 
     def run(

@@ -10,8 +10,8 @@ from collections.abc import Callable, Iterable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clipcurate.functions.names import SAMPLE_FORMAT
 from clipcurate.schemas import DIARIZATION, GENERATION_LOG
 from clipcurate.session import written
 
@@ -36,28 +36,38 @@ def _segments_of(diarizer: Diarizer, clip_id: str, data: bytes, rate: int) -> li
 
 
 def diarize(clips: DataFrame, make_diarizer: Callable[[], Diarizer]) -> DataFrame:
-    """Diarization rows of clips `(id, audio)`; a failing clip is recorded and the rest go on.
+    """Diarization rows of clips `(id, audio)`, with their `language` if they have one.
 
-    The result is written once, because a model must not run again for every use of its output.
+    A failing clip is recorded and the rest go on. The result is written once, because a model must not run again for
+    every use of its output.
     """
+    with_language = "language" in clips.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         diarizer = make_diarizer()
         for batch in batches:
-            rows = []
-            for clip_id, data, rate in zip(batch["id"], batch["bytes"], batch["rate"]):
-                rows.extend(_segments_of(diarizer, clip_id, data, rate))
+            rows, languages = [], []
+            for i, (clip_id, data, rate) in enumerate(zip(batch["id"], batch["bytes"], batch["rate"])):
+                found = _segments_of(diarizer, clip_id, data, rate)
+                rows.extend(found)
+                languages.extend([batch["language"].iloc[i] if with_language else None] * len(found))
             out = pd.DataFrame(rows, columns=_DIARIZATION_COLUMNS)
+            if with_language:
+                out["language"] = languages
             yield out.astype({"start_us": "Int64", "end_us": "Int64"})
 
     inputs = clips.select(
-        "id", F.col("audio.bytes").alias("bytes"), F.col("audio.sampling_rate").alias("rate")
+        "id",
+        F.col("audio.bytes").alias("bytes"),
+        F.col("audio.sampling_rate").alias("rate"),
+        *(["language"] if with_language else []),
     )
-    return written(inputs.mapInPandas(run, DIARIZATION), "diarization")
+    schema = T.StructType([*DIARIZATION.fields, *[f for f in inputs.schema.fields if f.name == "language"]])
+    return written(inputs.mapInPandas(run, schema), "diarization")
 
 
 def _generate_one(synthesizer: Synthesizer, row) -> tuple:
-    file = SAMPLE_FORMAT % (row.ref_name, row.sample_no)
+    file = row.file
     try:
         frames, rate = synthesizer(
             row.text, row.ref_path, row.exaggeration, row.cfg_weight, file
@@ -68,11 +78,15 @@ def _generate_one(synthesizer: Synthesizer, row) -> tuple:
     return (row.ref_name, row.preset, row.sample_no, row.text, *result)
 
 
-def generate(plan: DataFrame, make_synthesizer: Callable[[], Synthesizer]) -> DataFrame:
+def generate(
+    plan: DataFrame, make_synthesizer: Callable[[], Synthesizer], tasks: int | None = None
+) -> DataFrame:
     """One log row per plan row; a failing row is recorded and the rest go on.
 
-    The plan is spread by its key first, as few texts would otherwise mean few tasks for a slow model.
+    The plan is spread over `tasks` tasks by its key first (four per core if not given), as few texts would otherwise
+    mean few tasks for a slow model. Adaptive execution does not merge a given number of partitions.
     """
+    tasks = tasks or 4 * plan.sparkSession.sparkContext.defaultParallelism
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         synthesizer = make_synthesizer()
@@ -80,7 +94,7 @@ def generate(plan: DataFrame, make_synthesizer: Callable[[], Synthesizer]) -> Da
             rows = [_generate_one(synthesizer, row) for row in batch.itertuples(index=False)]
             yield pd.DataFrame(rows, columns=_LOG_COLUMNS)
 
-    spread = plan.repartition("ref_name", "preset", "sample_no").select(
-        "ref_name", "ref_path", "preset", "exaggeration", "cfg_weight", "sample_no", "text"
+    spread = plan.repartition(tasks, "ref_name", "preset", "sample_no").select(
+        "ref_name", "ref_path", "preset", "exaggeration", "cfg_weight", "sample_no", "text", "file"
     )
     return spread.mapInPandas(run, GENERATION_LOG)

@@ -31,6 +31,7 @@ from clipcurate.streaming.curate import curate_stream
 LEDGER_FOLDER = "ledger"
 STATS_FOLDER = "stats"
 LOG_FOLDER = "generation_log"
+MISSING_FOLDER = "missing"
 
 
 def clip_index(raw: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ def curate_raw(
     diarization = None
     if make_diarizer is not None:
         wanted = curator.to_diarize(index, read_ledger(spark, ledger_path))
-        audio = raw.where(F.col("language") == language).select("id", "audio", *SOURCE_ORDER)
+        audio = raw.where(F.col("language") == language).select("id", "language", "audio", *SOURCE_ORDER)
         chosen = audio.join(wanted, ["id", *SOURCE_ORDER], "left_semi")
         diarization = diarize(chosen, make_diarizer)
     result = curator.run_and_record(index, ledger_path, diarization, scanned=raw)
@@ -126,13 +127,28 @@ def curate_new_files(
 def pack_languages(
     spark: SparkSession, raw_path: str, out: str, languages: tuple[str, ...]
 ) -> DataFrame:
-    """Pack the kept clips of several languages into shards; returns and writes their counts."""
-    ledger = read_ledger(spark, f"{out.rstrip('/')}/{LEDGER_FOLDER}")
-    kept = pack.manifest(in_languages(ledger, languages))
+    """Pack the kept clips of several languages into shards; returns and writes their counts.
+
+    Clips whose recording is no longer in the raw folder are left out before shards are numbered, so shards stay
+    full, and are written to the `missing` folder. Counts come from the written shards, and a difference to what was
+    to be written is an error.
+    """
+    root = out.rstrip("/")
+    kept = written(
+        pack.manifest(in_languages(read_ledger(spark, f"{root}/{LEDGER_FOLDER}"), languages)), "kept"
+    )
     audio = in_languages(clip_source.read_raw(spark, raw_path), languages)
-    tables.write_shards(tables.packed_rows(pack.assign_shards(kept), audio), out)
-    counts = clean_counts(kept)
-    tables.write_stats(counts, f"{out.rstrip('/')}/{STATS_FOLDER}")
+    place = ["src_file", "src_row", "language", "id"]
+    there = audio.select(*place)
+    kept.join(there, place, "left_anti").select(*place).write.mode("overwrite").parquet(f"{root}/{MISSING_FOLDER}")
+    present = written(kept.join(there, place, "left_semi"), "present")
+    shards = tables.write_shards(tables.packed_rows(pack.assign_shards(present), audio), out)
+    counts = written(clean_counts(spark.read.parquet(shards).select("language")), "counts")
+    expected = {r.language: r.clips for r in clean_counts(present).collect()}
+    found = {r.language: r.clips for r in counts.collect()}
+    if found != expected:
+        raise RuntimeError(f"the shards hold {found} clips instead of {expected}")
+    tables.write_stats(counts, f"{root}/{STATS_FOLDER}")
     return counts
 
 

@@ -58,6 +58,9 @@ LEDGER = T.StructType(
     ]
 )
 
+# The partition column of a written ledger: one folder per run or micro-batch.
+RUN_KEY = "run_key"
+
 MANIFEST_ENTRY = T.StructType(
     [
         T.StructField("wav_path", T.StringType()),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -55,6 +56,17 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+# Spark and Hadoop write a different number of slashes after this scheme.
+FILE_SCHEME = "^file:/+"
+
+
+def absolute_root(spark: SparkSession, path: str) -> str:
+    """A folder as the file system knows it, encoded as in a URI; local folders without their scheme."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return re.sub(FILE_SCHEME, "/", system.makeQualified(folder).toUri().toString()).rstrip("/")
+
+
 _scratch: list[str] = []
 
 
@@ -64,18 +76,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables of this driver, once no result that reads them is needed."""
+def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete scratch tables of this driver, all or those named, once no result that reads them is needed."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+    for name in list(_scratch) if paths is None else paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        if name in _scratch:
+            _scratch.remove(name)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, used: list[str] | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back, which cuts its lineage safely."""
     path = scratch_path(df.sparkSession, label)
+    if used is not None:
+        used.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

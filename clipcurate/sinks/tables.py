@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipcurate.functions.names import shard_name
 from clipcurate.operators.pack import with_defaults
-from clipcurate.schemas import CLEAN_CLIP, LEDGER
+from clipcurate.schemas import CLEAN_CLIP, LEDGER, RUN_KEY
 
 # Fixed value: the folder of packed shards.
 SHARD_FOLDER = "data/train"
@@ -16,10 +19,12 @@ SHARD_FOLDER = "data/train"
 def packed_rows(sharded: DataFrame, audio: DataFrame) -> DataFrame:
     """Packed clips with their real sampling rate; audio joins last, by its place in the source.
 
-    A source position is unique, so a repeated id neither picks the wrong recording nor fills one task.
+    A source position is unique, so a repeated id does not fill one task. Id and language have to match too: a ledger
+    written for another folder then loses its clips instead of giving them other recordings. `audio` tables without
+    these two columns are joined by position alone.
     """
-    bytes_by_place = audio.select("src_file", "src_row", "audio")
-    rows = with_defaults(sharded).join(bytes_by_place, ["src_file", "src_row"])
+    place = [c for c in ("src_file", "src_row", "language", "id") if c in audio.columns]
+    rows = with_defaults(sharded).join(audio.select(*place, "audio"), place)
     return rows.select(
         "id",
         "audio",
@@ -50,12 +55,20 @@ def write_shards(rows: DataFrame, path: str) -> str:
     return out
 
 
+def ledger_part(path: str, key: str) -> str:
+    """The folder of one writer's rows. Batches and streams use the same layout and never share a folder."""
+    return f"{path.rstrip('/')}/{RUN_KEY}={quote(key, safe='')}"
+
+
+def write_ledger(verdicts: DataFrame, path: str, key: str) -> None:
+    """Write the verdict rows of one writer; doing it again with the same key replaces them."""
+    rows = verdicts.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields])
+    rows.write.mode("overwrite").parquet(ledger_part(path, key))
+
+
 def append_ledger(verdicts: DataFrame, path: str, run_id: str) -> None:
-    """Append the verdict rows of one run."""
-    rows = verdicts.withColumn("run_id", F.lit(run_id))
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields]).write.mode(
-        "append"
-    ).parquet(path)
+    """Add the verdict rows of one run. Every call has a folder of its own, so runs side by side do not meet."""
+    write_ledger(verdicts.withColumn("run_id", F.lit(run_id)), path, f"{run_id}.{uuid.uuid4().hex[:12]}")
 
 
 def write_stats(stats: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipcurate.functions import names
+from clipcurate.session import absolute_root
 
 _POSITION_MASK = (1 << 33) - 1
 
@@ -43,7 +44,10 @@ def _first_of_file() -> Column:
 
 
 def write_lines(lines: DataFrame, path: str, header: str | None = None) -> None:
-    """Sorted by id; every part file starts with the header, as Spark's CSV reader expects."""
+    """Sorted by id; every part file starts with the header, as Spark's CSV reader expects, also one without rows."""
+    if header is not None and lines.isEmpty():
+        lines.sparkSession.createDataFrame([(header,)], "value string").write.mode("overwrite").text(path)
+        return
     ordered = lines.orderBy("id")
     line = F.col("line")
     if header is not None:
@@ -58,7 +62,7 @@ def write_manifests(manifest: DataFrame, root: str, language: str) -> dict[str,
     # The file names that readers of these manifests look for.
     paths = {name: f"{folder}/{name}" for name in ("metadata.csv", "wav.scp", "text", "utt2spk")}
     write_lines(csv_lines(rows), paths["metadata.csv"], names.CSV_HEADER)
-    write_lines(wav_scp_lines(rows, root), paths["wav.scp"])
+    write_lines(wav_scp_lines(rows, absolute_root(manifest.sparkSession, root)), paths["wav.scp"])
     write_lines(text_lines(rows), paths["text"])
     write_lines(speaker_lines(rows), paths["utt2spk"])
     return paths

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,12 +31,23 @@ def _store(folder: str, clip_id: str, data: bytes) -> tuple:
     return clip_id, path, len(data), "written"
 
 
+def mounted_folder(root: str) -> str:
+    """The absolute local path of a folder given bare or as a `file:` URI."""
+    scheme, colon, rest = root.partition(":")
+    if colon and "/" not in scheme:
+        if scheme != "file":
+            raise ValueError(f"WAV files are written to mounted folders, not to {scheme}:")
+        root = "/" + unquote(rest).lstrip("/")
+    return os.path.abspath(root)
+
+
 def export_wavs(clips: DataFrame, root: str, language: str) -> DataFrame:
     """Write 16-bit clips to `root/language/wavs/{id}.wav` and return what was written.
 
-    `root` has to be a mounted folder that every executor shares. Nothing happens until the result is used.
+    `root` has to be a mounted folder that every executor shares, bare or with the scheme `file:`; other schemes are
+    refused before anything runs. Nothing happens until the result is used.
     """
-    folder = os.path.join(root, language, WAV_FOLDER.rstrip("/"))
+    folder = os.path.join(mounted_folder(root), language, WAV_FOLDER.rstrip("/"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.makedirs(folder, exist_ok=True)

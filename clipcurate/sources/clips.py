@@ -8,26 +8,34 @@ from pyspark.sql import functions as F
 
 from clipcurate.functions.names import default_speaker
 from clipcurate.schemas import CLEAN_CLIP, RAW_CLIP
+from clipcurate.session import FILE_SCHEME, absolute_root
 
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
-def _placed(clips: DataFrame) -> DataFrame:
-    """Clips with their place in the source: `src_file`, `src_row`."""
+def _placed(clips: DataFrame, path: str) -> DataFrame:
+    """Clips with their place in the source: `src_file`, `src_row`.
+
+    The file is named by its path below the scanned folder, as writers give files of different partition folders
+    the same name. A scanned single file has its bare name.
+    """
+    root = absolute_root(clips.sparkSession, path)
+    file = F.regexp_replace(F.col("_metadata.file_path"), FILE_SCHEME, "/")
+    below = F.when(F.startswith(file, F.lit(root + "/")), F.substr(file, F.lit(len(root) + 2)))
     return clips.select(
         "*",
-        F.col("_metadata.file_name").alias("src_file"),
+        F.coalesce(below, F.regexp_extract(file, "([^/]*)$", 1)).alias("src_file"),
         F.col("_metadata.row_index").alias("src_row"),
     )
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return _placed(spark.read.schema(RAW_CLIP).parquet(path))
+    return _placed(spark.read.schema(RAW_CLIP).parquet(path), path)
 
 
 def stream_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw clips of a folder that files are added to."""
-    return _placed(spark.readStream.schema(RAW_CLIP).parquet(path))
+    return _placed(spark.readStream.schema(RAW_CLIP).parquet(path), path)
 
 
 def read_clean(spark: SparkSession, path: str, language: str | None = None) -> DataFrame:

@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipcurate.functions.names import path_stem
 from clipcurate.operators.verdict import KEPT
-from clipcurate.schemas import LEDGER, LEDGER_DOCUMENT
+from clipcurate.schemas import LEDGER, LEDGER_DOCUMENT, RUN_KEY
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """All verdict rows so far; no ledger yet means no rows."""
+def read_ledger(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """All verdict rows so far, of runs and micro-batches alike; no ledger yet means no rows.
+
+    A writer that may run again leaves out its own rows by its key.
+    """
+    schema = T.StructType([*LEDGER.fields, T.StructField(RUN_KEY, T.StringType())])
     try:
-        return spark.read.schema(LEDGER).parquet(path)
+        rows = spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LEDGER)
+        rows = spark.createDataFrame([], schema)
+    if without is not None:
+        rows = rows.where(~F.col(RUN_KEY).eqNullSafe(without))
+    return rows.drop(RUN_KEY)
 
 
 def _documents(spark: SparkSession, path: str, one_per_line: bool) -> DataFrame:
@@ -31,7 +39,8 @@ def read_ledger_documents(
     """Ledger rows from JSON documents, one per file or one per line; a missing list reads as empty.
 
     A document names the ids it has processed and the entries it kept. Which test the other ids failed is
-    not in it, so their verdict is null.
+    not in it, so their verdict is null. An entry counts as processed even where its id is not listed; of repeated
+    entries of an id the longest clip stays, and of equally long ones the first text in order.
     """
     docs = _documents(spark, path, one_per_line)
     kept = docs.select(F.explode("metadata").alias("m")).select(
@@ -42,10 +51,31 @@ def read_ledger_documents(
         F.col("m.duration").alias("duration"),
         F.col("m.cps").alias("cps"),
     )
-    ids = docs.select(F.explode("processed_ids").alias("id")).distinct()
+    best = F.max_by(F.struct(*[c for c in kept.columns if c != "id"]), F.struct("duration", "cps", "clean_text"))
+    kept = kept.groupBy("id").agg(best.alias("_k")).select("id", "_k.*")
+    ids = docs.select(F.explode("processed_ids").alias("id")).union(kept.select("id")).distinct()
     return ids.join(kept, "id", "left").withColumn("language", F.lit(language))
 
 
+def import_ledger(
+    spark: SparkSession, path: str, language: str, run_id: str = "import", one_per_line: bool = False
+) -> DataFrame:
+    """Ledger documents as rows of a ledger table, to be written by `append_ledger` and resumed from.
+
+    Copies count as one, and the source position is not known: such clips are not packed from a raw folder.
+    """
+    rows = read_ledger_documents(spark, path, language, one_per_line).withColumns(
+        {
+            "copies": F.lit(1),
+            "src_file": F.lit(None),
+            "src_row": F.lit(None),
+            "duration_ms": F.floor(F.col("duration").cast("decimal(38,9)") * 1000 + F.lit(0.5).cast("decimal(2,1)")),
+            "run_id": F.lit(run_id),
+        }
+    )
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields])
+
+
 def read_ledger_stats(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     """The counters of each document; a missing counter reads as 0."""
     return _documents(spark, path, one_per_line).select("stats.*").na.fill(0)

@@ -2,35 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from clipcurate.operators.resume import not_processed_small
 from clipcurate.plans.curate import Curator
-from clipcurate.schemas import LEDGER
+from clipcurate.session import release_scratch
+from clipcurate.sinks.tables import write_ledger
 from clipcurate.sources.ledger import read_ledger
 
-BATCH_COLUMN = "batch_id"
-
-
 def read_stream_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return read_ledger(spark, ledger_path)
 
 
-def _earlier_batches(spark: SparkSession, ledger_path: str, batch_id: int) -> DataFrame:
-    """Ledger rows of other batches; a batch that runs again must not see its own first try."""
-    schema = StructType([*LEDGER.fields, StructField(BATCH_COLUMN, LongType())])
-    try:
-        rows = spark.read.schema(schema).parquet(ledger_path)
-    except Exception as e:
-        if getattr(e, "getCondition", lambda: "")() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    return rows.where(F.col(BATCH_COLUMN) < batch_id)
+def batch_key(checkpoint: str, batch_id: int) -> str:
+    """A micro-batch is known by its stream, that is its checkpoint, and its number there."""
+    return f"stream-{hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:12]}-{batch_id}"
 
 
 def curate_stream(
@@ -43,17 +34,22 @@ def curate_stream(
 ) -> StreamingQuery:
     """Curate what has arrived since the last run, then stop.
 
-    The ledger is the only memory of past ids, so no streaming state grows with the data. Each batch
-    replaces its own ledger folder: redoing a batch after a crash gives the same rows once.
+    The ledger is the only memory of past ids, so no streaming state grows with the data. It may hold the rows of
+    batch runs and of other streams as well. Each batch replaces its own ledger folder: redoing a batch after a
+    crash gives the same rows once. A limit on the number of clips is refused, as it would hold for each
+    micro-batch and depend on how files arrive.
     """
+    if curator.config.max_samples:
+        raise ValueError("a stream has no first clips: max_samples cannot be used")
 
     def record(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = _earlier_batches(spark, ledger_path, batch_id)
-        rows = curator.verdicts(prepare(batch), diarization, done, skip=not_processed_small)
-        rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields]).write.mode(
-            "overwrite"
-        ).parquet(f"{ledger_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
+        key = batch_key(checkpoint, batch_id)
+        done = read_ledger(spark, ledger_path, without=key)
+        scratch: list[str] = []
+        skip = partial(not_processed_small, used=scratch)
+        write_ledger(curator.verdicts(prepare(batch), diarization, done, skip=skip), ledger_path, key)
+        release_scratch(spark, scratch)
 
     return (
         clips.writeStream.foreachBatch(record)

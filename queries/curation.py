@@ -204,6 +204,25 @@ def stream_resume(spark, d):
     return read_stream_ledger(spark, path).select(*VERDICT_COLUMNS)
 
 
+def ledger_mixed(spark, d):
+    """A run over the labelled documents, then a stream over all of them, into one ledger."""
+    path = scratch_path(spark, "ledger")
+    spoken = written(views.diarization(spark, d), "diarization")
+    labelled = views.labelled_clips(spark, d).select(*views.CLIP_COLUMNS)
+    Curator(CurationConfig(run_id="first")).run_and_record(labelled, path, spoken)
+    documents = views.table(spark, d, "documents")
+    arriving = spark.readStream.schema(documents.schema).option("pathGlobFilter", "documents.parquet").parquet(d)
+    query = curate_stream(
+        arriving,
+        path,
+        f"{path}-progress",
+        diarization=spoken,
+        prepare=lambda batch: views.lines_to_clips(batch).select(*views.CLIP_COLUMNS),
+    )
+    query.awaitTermination()
+    return read_stream_ledger(spark, path).select(*VERDICT_COLUMNS)
+
+
 QUERIES = {
     "q_clip_scan_profile": clip_scan_profile,
     "q_language_filter": language_filter,
@@ -236,6 +255,7 @@ QUERIES = {
     "q_length_bands": length_bands,
     "q_ledger": ledger_rows,
     "q_stream_resume": stream_resume,
+    "q_ledger_mixed": ledger_mixed,
 }
 
 
@@ -387,4 +407,5 @@ ORACLE = {
         group by 1""",
     "q_ledger": views.sql(f"select *, 'first' as run_id from ({_SQL_FIRST_RUN})", "measured", "speakers"),
     "q_stream_resume": views.sql(_SQL_FIRST_RUN, "measured", "speakers"),
+    "q_ledger_mixed": views.sql(_SQL_FIRST_RUN, "measured", "speakers"),
 }

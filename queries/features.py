@@ -106,14 +106,18 @@ def over_limit(spark, d):
     return samples.over_limit_counts(_with_text_tokens(spark, d), MAX_TEXT, MAX_SPEECH)
 
 
+def _rounded(rows, column):
+    return rows.withColumn(column, F.round(column, 9))
+
+
 def mean_vector(spark, d):
     table = views.spread_table(spark, d, "embeddings")
-    return vectors.mean_elements(table, vec="embedding")
+    return _rounded(vectors.mean_elements(table, vec="embedding"), "mean")
 
 
 def group_mean_vector(spark, d):
     table = views.spread_table(spark, d, "embeddings")
-    return vectors.mean_elements(table, "label", vec="embedding")
+    return _rounded(vectors.mean_elements(table, "label", vec="embedding"), "mean")
 
 
 def vocab_vectors(spark, d):
@@ -125,7 +129,7 @@ def vocab_vectors(spark, d):
         (F.col("token_id") + 1_000_000).cast("long").alias("token_id")
     )
     grown = vectors.extend_vectors(known, added)
-    return grown.select("token_id", "added", F.posexplode("vec").alias("pos", "value"))
+    return _rounded(grown.select("token_id", "added", F.posexplode("vec").alias("pos", "value")), "value")
 
 
 QUERIES = {
@@ -158,8 +162,7 @@ _EXTENDED = """(
 _ELEMENTS = """(select vec_id, label, unnest(embedding) as x,
                        cast(unnest(range(0, len(embedding))) as int) as pos
                 from embeddings)"""
-_MEAN = """cast(sum(cast(floor(cast(x as double) * 1000000000 + 0.5) as bigint)) as double)
-           / count(*) / cast(1000000000 as double)"""
+_MEAN = "round(avg(cast(x as double)), 9)"
 _DROPPED = f"""cast(concat('0x', substring(md5(concat(id, '#', '{EPOCH}')), 1, 8)) as bigint) % 100 < 20"""
 
 ORACLE = {
@@ -229,7 +232,7 @@ ORACLE = {
     "q_mean_vector": f"select pos, {_MEAN} as mean from {_ELEMENTS} group by 1",
     "q_group_mean_vector": f"select label, pos, {_MEAN} as mean from {_ELEMENTS} group by 1, 2",
     "q_vocab_vectors": views.sql(
-        f"""select vec_id as token_id, false as added, pos, cast(x as double) as value from {_ELEMENTS}
+        f"""select vec_id as token_id, false as added, pos, round(cast(x as double), 9) as value from {_ELEMENTS}
             union all
             select token_id + 1000000, true, pos, mean
             from (select cast(token_id as bigint) as token_id from {_EXTENDED} where added),

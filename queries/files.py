@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from clipcurate.functions.names import CSV_HEADER, wav_path
 from clipcurate.operators import pack
+from clipcurate.plans import jobs
 from clipcurate.session import scratch_path
 from clipcurate.sinks import tables, text, vocabulary, wav
 from clipcurate.sources import clips as clip_source
 from clipcurate.sources import ledger, manifests
-from clipcurate.sources.vocabulary import read_vocabulary
+from clipcurate.sources.vocabulary import read_vocabulary_lines
 from clipcurate.sources.wav import with_wav_info
 from queries import curation, generation, views
 
@@ -128,6 +129,19 @@ def packed(spark, d):
     )
 
 
+def pack_partitioned(spark, d):
+    """Whole jobs: a raw folder with one partition folder per language is curated language by language and packed."""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
+    views.raw_folder(spark, d, raw)
+    languages = sorted(r[0] for r in views.table(spark, d, "documents").select("lang").distinct().collect())
+    for language in languages:
+        jobs.curate_raw(spark, raw, out, language)
+    jobs.pack_languages(spark, raw, out, tuple(languages))
+    rows = spark.read.parquet(f"{out}/{tables.SHARD_FOLDER}")
+    samples = F.expr("substring(audio.bytes, 45)")
+    return rows.select("shard", "id", "language", "text", F.md5(samples).alias("audio_md5"))
+
+
 def clean_scan(spark, d):
     """The packed clips of one language, found and scanned as an existing clean result."""
     path = _packed(spark, d)
@@ -150,7 +164,10 @@ def ledger_documents(spark, d):
             F.lit(2.5).alias("duration"), F.lit(7.25).alias("cps"),
         ),
     )
-    document = docs.select(ids.alias("processed_ids"), F.slice(entries, 1, 1).alias("metadata"))
+    # Lines of an even length were kept; the others were processed only.
+    even = F.zip_with(F.split("text", "\n"), entries, lambda line, entry: F.when(F.length(line) % 2 == 0, entry))
+    kept = F.filter(even, lambda entry: entry.isNotNull())
+    document = docs.select(ids.alias("processed_ids"), kept.alias("metadata"))
     document.write.json(path)
     rows = ledger.read_ledger_documents(spark, path, "en", one_per_line=True)
     return rows.select("id", "language", "verdict", "clean_text", "duration", "cps")
@@ -159,7 +176,7 @@ def ledger_documents(spark, d):
 def vocab_document(spark, d):
     path = scratch_path(spark, "vocabulary")
     vocabulary.write_vocabulary(views.base_vocab(spark, d), path)
-    return read_vocabulary(spark, path)
+    return read_vocabulary_lines(spark, path)
 
 
 def generation_log(spark, d):
@@ -191,6 +208,7 @@ QUERIES = {
     "q_shards": shards,
     "q_shard_sizes": shard_sizes,
     "q_pack": packed,
+    "q_pack_partitioned": pack_partitioned,
     "q_clean_scan": clean_scan,
     "q_ledger_documents": ledger_documents,
     "q_vocab_document": vocab_document,
@@ -261,17 +279,27 @@ ORACLE = {
         "kept",
         "delivered",
     ),
+    "q_pack_partitioned": views.sql(
+        f"""select concat('shard_', lpad(cast(s as varchar), 5, '0')) as shard, id, language, clean_text as text, audio_md5
+            from (select *, (row_number() over (order by language, id) - 1) // 300 as s
+                  from (select id, language, md5(text) as audio_md5, {curation._sql_clean('text')} as clean_text,
+                               cast(strlen(text) // 2 as double) / {views.RAW_RATE} as seconds
+                        from clips)
+                  where len(clean_text) >= 2 and seconds between 2.0 and 20.0
+                    and len(clean_text) / seconds between 4.0 and 25.0)""",
+        "clips",
+    ),
     "q_clean_scan": views.sql(
         "select id, language, text, speaker as speaker_id from kept where language = 'en'", "kept"
     ),
     "q_ledger_documents": """
-        select id, 'en' as language, case when n = 0 then 'kept' end as verdict,
-               case when n = 0 then source end as clean_text,
-               case when n = 0 then cast(2.5 as double) end as duration,
-               case when n = 0 then cast(7.25 as double) end as cps
-        from (select concat(doc_id, '-', n) as id, source, n
-              from (select doc_id, source, unnest(range(0, len(string_split(text, chr(10))))) as n
-                    from documents))""",
+        select id, 'en' as language, case when even then 'kept' end as verdict,
+               case when even then source end as clean_text,
+               case when even then cast(2.5 as double) end as duration,
+               case when even then cast(7.25 as double) end as cps
+        from (select concat(doc_id, '-', n) as id, source, len(lines[n + 1]) % 2 = 0 as even
+              from (select doc_id, source, lines, unnest(range(0, len(lines))) as n
+                    from (select doc_id, source, string_split(text, chr(10)) as lines from documents)))""",
     "q_vocab_document": views.sql("select token, token_id from base_vocab", "base_vocab"),
     "q_generation_log": views.sql(
         f"select text, file, duration, status, ref_name from {generation._LOG}", "plan"

@@ -72,7 +72,7 @@ def sample_names(spark, d):
 
 
 def diarize_hook(spark, d):
-    return diarize(views.recordings(spark, d), make_stub_diarizer)
+    return diarize(views.recordings(spark, d), make_stub_diarizer).drop("language")
 
 
 QUERIES = {
@@ -96,7 +96,9 @@ ORACLE = {
         "select ref_name, sample_no, text, file from plan where preset = 'balanced'", "plan"
     ),
     "q_gen_presets": views.sql(
-        "select ref_name, preset, exaggeration, cfg_weight, sample_no, file from plan", "plan"
+        """select ref_name, preset, exaggeration, cfg_weight, sample_no, concat(preset, '/', file) as file
+           from plan""",
+        "plan",
     ),
     "q_gen_log": views.sql(f"select * from {_LOG}", "plan"),
     "q_gen_summary": views.sql(

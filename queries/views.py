@@ -179,12 +179,20 @@ def _le(value, digits: int = 8):
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One 16-bit mono WAV per conversation turn. Assistant turns have a LIST chunk before the samples."""
     turns = table(spark, sf_dir, "conversations")
-    size = F.octet_length("text")
     note = F.when(F.col("role") == "assistant", F.repeat("text", 4))
+    return turns.select(
+        F.concat_ws("-", "conv_id", "turn").alias("id"),
+        F.lit("en").alias("language"),
+        wav_audio(RECORDING_RATE, note).alias("audio"),
+    )
+
+
+def wav_audio(rate: int, note: Column) -> Column:
+    """The bytes of `text` as 16-bit samples of a mono WAV file, after a LIST chunk where there is a note."""
+    size = F.octet_length("text")
     fmt = [
-        F.lit("666D7420"), F.lit("10000000"), F.lit("01000100"), _le(F.lit(RECORDING_RATE)),
-        _le(F.lit(RECORDING_RATE * 2)), F.lit("02001000"),
-    ]
+        F.lit("666D7420"), F.lit("10000000"), F.lit("01000100"), _le(F.lit(rate)), _le(F.lit(rate * 2)), F.lit("02001000"),
+    ]
     chunk = F.coalesce(
         F.concat(F.unhex(F.concat(F.lit("4C495354"), _le(F.octet_length(note)))), F.encode(note, "UTF-8")),
         F.unhex(F.lit("")),
@@ -196,11 +204,18 @@ def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unhex(F.concat(F.lit("64617461"), _le(size))),
         F.encode("text", "UTF-8"),
     )
-    return turns.select(
-        F.concat_ws("-", "conv_id", "turn").alias("id"),
-        F.lit("en").alias("language"),
-        F.struct(data.alias("bytes"), F.lit(RECORDING_RATE).alias("sampling_rate")).alias("audio"),
-    )
+    return F.struct(data.alias("bytes"), F.lit(rate).alias("sampling_rate"))
+
+
+# Samples per second of the raw folder: a line of a hundred bytes lasts six seconds.
+RAW_RATE = 8
+
+
+def raw_folder(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write every line of every document as a WAV clip, one partition folder per language."""
+    lines = doc_clips(spark, sf_dir).select("id", "language", "text")
+    audio = wav_audio(RAW_RATE, F.lit(None).cast("string"))
+    lines.select("id", audio.alias("audio"), "text", "language").write.partitionBy("language").parquet(path)
 
 
 # DuckDB counterparts, as common table expressions in order of use.

@@ -1,12 +1,20 @@
 import io
 import wave
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from clipcurate.config import CurationConfig
+from clipcurate.plans import generate as generation
 from clipcurate.plans import jobs
+from clipcurate.plans.curate import Curator
+from clipcurate.plans.hooks import generate
 from clipcurate.schemas import RAW_CLIP
+from clipcurate.sources.ledger import read_ledger
 
 
 def wav(seconds, mark):
@@ -121,3 +129,99 @@ def test_generate(spark, tmp_path):
     assert got == {"v1": (2, 3, 3.0), "v2": (2, 3, 3.0)}
     listed = jobs.generate_speech(spark, str(tmp_path), str(tmp_path / "out2"), make, texts=["a"])
     assert {r.attempted for r in listed.collect()} == {1}
+
+
+def test_partitioned_folders_keep_their_recordings(spark, tmp_path):
+    good = "x" * 30
+    rows = [(f"{lang}{i}", (wav(3, k * 50 + i), 100), good, lang) for k, lang in enumerate(("gu", "hi")) for i in range(6)]
+    raw = str(tmp_path / "raw")
+    spark.createDataFrame(rows, RAW_CLIP).coalesce(1).write.partitionBy("language").parquet(raw)
+    out = str(tmp_path / "out")
+    for lang in ("gu", "hi"):
+        jobs.curate_raw(spark, raw, out, lang)
+    assert {r.language: r.clips for r in jobs.pack_languages(spark, raw, out, ("gu", "hi")).collect()} == {
+        "gu": 6, "hi": 6, None: 12,
+    }
+    packed = spark.read.parquet(f"{out}/data/train").collect()
+    assert {r.id: bytes(r.audio.bytes) for r in packed} == {i: audio[0] for i, audio, _, _ in rows}
+    assert len(packed) == 12
+
+
+def test_clips_without_a_recording_leave_no_gap(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    jobs.curate_raw(spark, raw, out, "gu")
+    fewer = str(tmp_path / "fewer")
+    # The same files, with one clip under another id: its recording is no longer there.
+    for file in sorted(Path(raw).glob("*.parquet")):
+        table = pq.read_table(file)
+        ids = pa.array(["other" if x == "g3" else x for x in table.column("id").to_pylist()])
+        Path(fewer).mkdir(exist_ok=True)
+        pq.write_table(table.set_column(table.schema.get_field_index("id"), "id", ids), f"{fewer}/{file.name}")
+    counts = {r.language: r.clips for r in jobs.pack_languages(spark, fewer, out, ("gu",)).collect()}
+    assert counts == {"gu": 11, None: 11}
+    assert [r.id for r in spark.read.parquet(f"{out}/missing").collect()] == ["g3"]
+
+
+def verdict_rows(ledger):
+    return sorted((r.language, r.id, r.verdict, r.copies, r.src_file, r.src_row) for r in ledger.collect())
+
+
+@pytest.mark.parametrize("order", ["stream first", "batch first"])
+def test_batch_and_stream_share_a_ledger(spark, raw, tmp_path, order):
+    config = CurationConfig(languages=("gu",))
+    whole = jobs.curate_raw(spark, raw, str(tmp_path / "whole"), "gu").verdicts
+    first, out = tmp_path / "first", str(tmp_path / "out")
+    first.mkdir()
+    files = sorted(Path(raw).glob("*.parquet"))
+    (first / files[0].name).write_bytes(files[0].read_bytes())
+    if order == "stream first":
+        jobs.curate_new_files(spark, str(first), out, str(tmp_path / "progress"), config)
+        jobs.curate_raw(spark, raw, out, "gu")
+    else:
+        jobs.curate_raw(spark, str(first), out, "gu")
+        jobs.curate_new_files(spark, raw, out, str(tmp_path / "progress"), config)
+    got = read_ledger(spark, f"{out}/ledger")
+    assert [r[:3] for r in verdict_rows(got)] == [r[:3] for r in verdict_rows(whole)]
+    again = jobs.curate_raw(spark, raw, out, "gu").verdicts
+    assert verdict_rows(again) == verdict_rows(got)
+
+
+def test_languages_side_by_side(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda lang: jobs.curate_raw(spark, raw, out, lang), ("gu", "hi")))
+    apart = [verdict_rows(jobs.curate_raw(spark, raw, str(tmp_path / x), x).verdicts) for x in ("gu", "hi")]
+    assert verdict_rows(read_ledger(spark, f"{out}/ledger")) == sorted(apart[0] + apart[1])
+
+
+def test_a_stream_refuses_a_limit(spark, raw, tmp_path):
+    with pytest.raises(ValueError, match="max_samples"):
+        jobs.curate_new_files(spark, raw, str(tmp_path / "o"), str(tmp_path / "p"), CurationConfig(max_samples=2))
+
+
+def test_speakers_of_one_language_do_not_reject_another(spark, make_clips):
+    clips = make_clips(("a", "gu", "x" * 30, 3.0), ("a", "hi", "x" * 30, 3.0))
+    spoken = spark.createDataFrame(
+        [("gu", "a", 0, 10, "A", "ok"), ("gu", "a", 10, 20, "B", "ok"), ("hi", "a", 5, 15, "A", "ok")],
+        "language string, clip_id string, start_us long, end_us long, speaker string, status string",
+    )
+    for languages in (None, ("gu", "hi"), ("hi",)):
+        rows = Curator(CurationConfig(languages=languages)).verdicts(clips, spoken).collect()
+        got = {r.language: r.verdict for r in rows}
+        assert got.get("gu", "multi_speaker_rejected") == "multi_speaker_rejected" and got["hi"] == "kept"
+
+
+def test_several_settings_write_different_files(spark):
+    texts = spark.createDataFrame([("one", 1), ("two", 2)], "text string, n int")
+    voices = spark.createDataFrame([("v", "/v.wav")], "ref_name string, ref_path string")
+    plan = generation.generation_plan(texts, voices, generation.presets(spark, generation.PRESETS), "n")
+    files = [r.file for r in plan.collect()]
+    assert len(set(files)) == len(files) == 8 and "stable/v_sample_001.wav" in files
+
+
+def test_a_model_is_spread_over_tasks(spark):
+    texts = spark.createDataFrame([(f"t{i}", i) for i in range(64)], "text string, n int")
+    voices = spark.createDataFrame([("v", "/v.wav")], "ref_name string, ref_path string")
+    plan = generation.generation_plan(texts, voices, generation.presets(spark), "n")
+    log = generate(plan, lambda: lambda *_: (100, 100), tasks=8)
+    assert log.withColumn("p", F.spark_partition_id()).select("p").distinct().count() > 4
