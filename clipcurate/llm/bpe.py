@@ -23,7 +23,7 @@ from clipcurate.llm.common import map_rows, texts_of
 LEAF_BYTES = 6
 SHORT_BYTES = 48
 #: Distinct pieces, leaves and token pairs, each, that a task remembers before it forgets all of them.
-MOST_KNOWN = 300_000
+MOST_KNOWN = 120_000
 _NEVER = 1 << 40
 
 

@@ -14,6 +14,8 @@ from clipcurate.session import ship_code
 
 FOLDS = 3
 HELD_OUT_FOLD = 1
+#: Rows that a task turns into Python objects at once. Results do not depend on it.
+ROWS_AT_ONCE = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,17 +77,23 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 
 
 def map_rows(df: DataFrame, function, added: str) -> DataFrame:
-    """`function(batch) -> list of arrays` gives the columns of `added` beside the batch's own."""
+    """`function(batch) -> list of arrays` gives the columns of `added` beside the batch's own.
+
+    Batches are cut to `ROWS_AT_ONCE` rows, and a task gives free memory back when it ends, as its worker goes on to
+    other operators.
+    """
     ship_code(df.sparkSession)
     schema = T.StructType(df.schema.fields + T._parse_datatype_string(added).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
                 arrays = function(batch)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, *arrays], names=[*batch.schema.names, *(f.name for f in schema.fields[-len(arrays) :])]
                 )
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

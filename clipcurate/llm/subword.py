@@ -161,10 +161,14 @@ def train(
     return model
 
 
+#: Words that a task remembers before it forgets all of them, and words whose rows are computed at once.
+MOST_KNOWN, WORDS_AT_ONCE = 60_000, 10_000
+
+
 class WordRows(dict):
     """Numbers for words, with a row of sums each. Cleared when it exceeds `most` words."""
 
-    def __init__(self, model: Model, most: int = 300_000):
+    def __init__(self, model: Model, most: int = MOST_KNOWN):
         super().__init__()
         self.model, self.most = model, most
         self.rows = np.zeros((1024, len(model.bias) + 1), np.float32)
@@ -184,8 +188,8 @@ class WordRows(dict):
             grown = np.zeros((2 * need, self.rows.shape[1]), np.float32)
             grown[: self.known] = self.rows[: self.known]
             self.rows = grown
-        for start in range(0, len(self.pending), 50_000):
-            part = self.pending[start : start + 50_000]
+        for start in range(0, len(self.pending), WORDS_AT_ONCE):
+            part = self.pending[start : start + WORDS_AT_ONCE]
             encoded = [w.encode() if isinstance(w, str) else w for w in part]
             self.rows[self.known : self.known + len(part)] = self.model.space.sums(encoded, self.model.logits)
             self.known += len(part)

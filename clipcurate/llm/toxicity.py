@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipcurate.llm.common import labelled_sample, map_rows, texts_of
+from clipcurate.llm.subword import MOST_KNOWN
 
 BUCKETS = 1 << 18
 #: Byte lengths of the word beginnings that are features beside the whole word.
@@ -137,7 +138,7 @@ def learn(
 class _Words(dict):
     """Numbers for tokens, 0 for sentence ends, with the score of each word."""
 
-    def __init__(self, model: Model, most: int = 300_000):
+    def __init__(self, model: Model, most: int = MOST_KNOWN):
         super().__init__()
         self.model, self.most = model, most
         self.scores, self.pending = np.zeros(1, np.float64), []
