@@ -5,7 +5,9 @@ from __future__ import annotations
 import bisect
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,6 +78,21 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+#: Bytes of text that a task turns into Python objects at once, unless a single text is longer.
+BYTES_AT_ONCE = 8 << 20
+
+
+def byte_slices(batch: pa.RecordBatch, name: str, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into slices of at most `most` bytes in a string column, or of one row. Nulls have no bytes."""
+    most = most or BYTES_AT_ONCE
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start, before = 0, 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start, before = stop, int(ends[stop - 1])
+
+
 def map_rows(df: DataFrame, function, added: str) -> DataFrame:
     """`function(batch) -> list of arrays` gives the columns of `added` beside the batch's own.
 

@@ -51,6 +51,97 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(word.n, 0) AS BI
 FROM doc LEFT JOIN word USING (r) LEFT JOIN items USING (r)
 """
 
+DIVERGENCE_SQL = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[a-z\x{80}-\x{10FFFF}]+') AS w
+    FROM documents
+), word AS (
+    SELECT r, lang, source, unnest(w) AS term FROM doc
+), kept AS (
+    SELECT lang, term FROM word GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), seen AS (
+    SELECT lang, source, term, count(*) AS n FROM word JOIN kept USING (lang, term) GROUP BY ALL
+), grp AS (
+    SELECT DISTINCT lang, source FROM doc
+), size AS (
+    SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), cell AS (
+    SELECT g.lang, g.source, k.term, coalesce(s.n, 0) AS n
+    FROM grp g JOIN kept k USING (lang) LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term
+), grp_total AS (
+    SELECT lang, source, sum(n) AS total FROM cell GROUP BY ALL
+), grp_p AS (
+    SELECT lang, source, term, n, 1 + (CAST(1000000000 AS HUGEINT) * (n + 1)) // CAST(total + v AS HUGEINT) AS p
+    FROM cell JOIN grp_total USING (lang, source) JOIN size USING (lang)
+), lang_n AS (
+    SELECT lang, term, sum(n) AS n FROM seen GROUP BY ALL
+), lang_total AS (
+    SELECT lang, sum(n) AS total FROM lang_n GROUP BY lang
+), lang_q AS (
+    SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 1)) // CAST(total + v AS HUGEINT) AS q
+    FROM lang_n JOIN lang_total USING (lang) JOIN size USING (lang)
+), apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM grp_p a JOIN grp_p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pair AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), term AS (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+    FROM grp_p JOIN lang_q USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def _cluster_sql(centroids: int = 40, rounds: int = 5) -> str:
+    nearest = """
+near{k} AS (
+    SELECT r, cluster, distance FROM (
+        SELECT r, c.n AS cluster, CAST(v.xx - 2 * list_inner_product(v.x, c.x) + list_inner_product(c.x, c.x) AS BIGINT) AS distance
+        FROM vec v, cen{k} c
+    ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, cluster) = 1
+)"""
+    mean = """, sum{k} AS (
+    SELECT cluster, i, sum(x) AS s, count(*) AS m
+    FROM (SELECT cluster, unnest(range(1, 65)) AS i, unnest(list_transform(v.x, lambda e: CAST(e AS BIGINT))) AS x
+          FROM near{k} JOIN vec v USING (r))
+    GROUP BY cluster, i
+), mean{k} AS (
+    SELECT cluster, list(CAST((s - ((s % m) + m) % m) // m AS DOUBLE) ORDER BY i) AS x FROM sum{k} GROUP BY cluster
+), cen{next} AS (
+    SELECT c.n, coalesce(m.x, c.x) AS x FROM cen{k} c LEFT JOIN mean{k} m ON m.cluster = c.n
+),"""
+    steps = "".join(nearest.format(k=k) + mean.format(k=k, next=k + 1) for k in range(rounds)) + nearest.format(k=rounds)
+    return f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), vec AS (
+    SELECT r, vec_id, x, list_inner_product(x, x) AS xx FROM kept
+), cen0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)) NULLS LAST) - 1 AS n, x FROM vec QUALIFY n < {centroids}
+),{steps}, named AS (
+    SELECT n, sha256(array_to_string(list_transform(x, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+    FROM cen{rounds}
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+    CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+    CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near{rounds} JOIN vec USING (r) JOIN named ON named.n = cluster
+"""
+
+
+CLUSTER_SQL = _cluster_sql()
+
 
 def _url_sql(rules=RULES, s: Settings = Settings()) -> str:
     rule = "CASE "

@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipcurate.llm import (
+    bitplane,
     bpe,
     decontaminate,
+    divergence,
     langid,
     near_dedup,
+    packing,
     page_diff,
     quality,
     simhash,
@@ -19,9 +22,10 @@ from clipcurate.llm import (
     url_templates,
 )
 from clipcurate.llm.common import held_out, table
-from clipcurate.llm.oracles import HTML_SQL, MATCH_SQL, URL_SQL
+from clipcurate.llm.oracles import CLUSTER_SQL, DIVERGENCE_SQL, HTML_SQL, MATCH_SQL, URL_SQL
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+WORDS = "word_bpe_49k.json"
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +95,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source diverges from the others of its language, and in which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplane.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token piece of the documents with its place in a packed sequence."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = packing.pack(documents, public_tokenizers.path(WORDS))
+    return packed.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", packing.crc32_of("ids").alias("ids_crc32"),
+        "sequence_id", "offset",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,7 +127,16 @@ QUERIES = {
         op8_decontaminate,
         op9_simhash,
         op10_quality,
+        op11_divergence,
+        op12_clusters,
+        op13_packing,
     )
 }
 
-ORACLE = {"op3_html_text": HTML_SQL, "op5_url_filter": URL_SQL, "op8_decontaminate": MATCH_SQL}
+ORACLE = {
+    "op3_html_text": HTML_SQL,
+    "op5_url_filter": URL_SQL,
+    "op8_decontaminate": MATCH_SQL,
+    "op11_divergence": DIVERGENCE_SQL,
+    "op12_clusters": CLUSTER_SQL,
+}
