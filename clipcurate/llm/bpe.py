@@ -159,11 +159,22 @@ class _Pieces(dict):
 class TextEncoder:
     """Encodes whole texts. Matches of the pattern are encoded separately and never merge with each other."""
 
+    _made: dict[tuple[bytes, str], TextEncoder] = {}
+
     def __init__(self, ranks: bytes, pattern: str):
         self.encoder = TreeEncoder(parse_ranks(ranks))
         self.split = regex.compile(pattern).findall
         self.pieces = _Pieces(self.encoder)
 
+    @classmethod
+    def of(cls, ranks: bytes, pattern: str) -> TextEncoder:
+        """One encoder per worker process, vocabulary and pattern, so that tasks share what they remember."""
+        key = (hashlib.sha256(ranks).digest(), pattern)
+        if key not in cls._made:
+            cls._made.clear()
+            cls._made[key] = cls(ranks, pattern)
+        return cls._made[key]
+
     def encode(self, text: str) -> bytes:
         if len(self.pieces) > MOST_KNOWN:
             self.pieces.clear()
@@ -192,10 +203,9 @@ def encode(documents: DataFrame, ranks: bytes, pattern: str, ids: str | None = "
         added = {ids: "binary"} | added
     columns = [c for c in documents.columns if c not in added]
     shared = documents.sparkSession.sparkContext.broadcast((ranks, pattern))
-    state: dict = {}
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        encoder = state.get("encoder") or state.setdefault("encoder", TextEncoder(*shared.value))
+        encoder = TextEncoder.of(*shared.value)
         coded, n, digest, decoded, same = [], [], [], [], []
         for text in texts_of(batch):
             found = encoder.encode(text)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import bisect
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,6 +96,14 @@ def byte_slices(batch: pa.RecordBatch, name: str, most: int | None = None) -> It
         start, before = stop, int(ends[stop - 1])
 
 
+def give_back() -> None:
+    """Return free memory to the system at the end of a task, as its worker goes on to other operators."""
+    pa.default_memory_pool().release_unused()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_rows(df: DataFrame, function, added: str) -> DataFrame:
     """`function(batch) -> list of arrays` gives the columns of `added` beside the batch's own.
 
@@ -110,7 +121,7 @@ def map_rows(df: DataFrame, function, added: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, *arrays], names=[*batch.schema.names, *(f.name for f in schema.fields[-len(arrays) :])]
                 )
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(run, schema)
 

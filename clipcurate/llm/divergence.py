@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipcurate.llm.common import byte_slices, shuffle_partitions
+from clipcurate.llm.common import byte_slices, give_back, shuffle_partitions
 from clipcurate.llm.transducer import Transducer, build
 from clipcurate.session import ship_code, written
 
@@ -80,7 +80,7 @@ def _counted(docs: DataFrame, by_source: bool) -> DataFrame:
                 if sum(map(len, found.values())) > GATHERED:
                     yield from flush(found)
         yield from flush(found)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     kinds = {"n": "long"}
     parts = docs.mapInArrow(run, ", ".join(f"{c} {kinds.get(c, 'string')}" for c in names))
@@ -256,7 +256,7 @@ def _streamed(docs: DataFrame, directory: Directory, data: dict[int, bytes]) ->
                     yield flush()
                     groups, keys, counts = {}, keys[:0], counts[:0]
         yield flush()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     parts = docs.mapInArrow(run, "lang string, source string, ordinal long, n long")
     return parts.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))

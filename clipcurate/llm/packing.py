@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipcurate.llm.common import byte_slices
+from clipcurate.llm.common import byte_slices, give_back
 from clipcurate.llm.words import WordIds
 from clipcurate.session import ship_code, written
 
@@ -156,7 +156,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", capacity:
                     ],
                     names=["id", "piece", "start", "length", "ids", "task", "rank"],
                 )
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(

@@ -49,9 +49,12 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every token sequence of the documents stands in the training order, read back from the shards."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    place = ("file", "row")
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    shards = training_order.materialise(documents, ranks, public_tokenizers.PATTERN)
+    shards = training_order.materialise(documents, ranks, public_tokenizers.PATTERN, place=place)
     return training_order.positions(shards)
 
 

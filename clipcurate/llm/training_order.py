@@ -1,6 +1,7 @@
 """Training-order materialisation: a keyed Feistel permutation gives every token sequence its global slot.
 
-Sequences are written once as they come; their numbers are the sizes of the parts before plus the place in the part.
+Sequences are written once as they come. A sequence's number is its place in the order of the files and their rows, so it
+does not depend on how the files were split over tasks.
 The permutation of the numbers is computed, not stored: a slot is found from a number, or a number from a slot, without
 a table. Slots are dealt to shards by range, and a shard is one row with a payload of fixed-stride records, so slot s is
 record s mod n of shard s div n, and reading can go on from any slot.
@@ -13,12 +14,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipcurate.llm.bpe import parse_ranks
-from clipcurate.llm.common import shuffle_partitions, texts_of
+from clipcurate.llm.common import byte_slices, give_back, shuffle_partitions, texts_of
 from clipcurate.session import scratch_path, ship_code
 
 LENGTH = 256
@@ -28,7 +31,8 @@ ROUNDS = 6
 PAD = 0xFFFF
 
 _SHARD = "shard long, first_slot long, doc_ids array<long>, parts array<int>, sizes array<int>, payload binary"
-_PART_SHIFT = 33
+_KINDS = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+_RUN_SHIFT = 32
 
 
 class Feistel:
@@ -75,86 +79,60 @@ class Feistel:
         return self._walked(slots, self._back)
 
 
-class _Irregular(Exception):
-    """A piece between spaces that has other white space at its ends."""
-
-
-class _Units(dict):
-    """Token ids of a space and what follows it up to the next space, as little-endian unsigned 16-bit integers.
-
-    Where a single space has no white space beside it, the pattern always splits before it, so such pieces encode on
-    their own.
-    """
-
-    def __init__(self, encode, most: int = 300_000):
-        super().__init__()
-        self.encode, self.most = encode, most
-
-    def __missing__(self, unit: str) -> bytes:
-        if not unit or unit[0].isspace() or unit[-1].isspace():
-            raise _Irregular
-        ids = np.array(self.encode(" " + unit), "<u2").tobytes()
-        if len(unit) <= 64:
-            self[unit] = ids
-        return ids
-
-
-def _encoder(ranks: bytes, pattern: str):
+def _encoder(ranks: bytes, pattern: str) -> tuple[tiktoken.Encoding, int]:
+    """The library's encoder and the id of the end mark."""
     parsed = parse_ranks(ranks)
-    if max(parsed.values()) + 1 >= PAD:
+    end = max(parsed.values()) + 1
+    if end >= PAD:
         raise ValueError("16-bit records hold vocabularies of up to 65,534 tokens")
-    encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=parsed, special_tokens={}).encode_ordinary
-    units = _Units(encode)
-
-    def ids_of(text: str) -> bytes:
-        if len(units) > units.most:
-            units.clear()
-        first, *rest = text.split(" ")
-        try:
-            if first and not first[-1].isspace():
-                return np.array(encode(first), "<u2").tobytes() + b"".join(map(units.__getitem__, rest))
-        except _Irregular:
-            pass
-        return np.array(encode(text), "<u2").tobytes()
-
-    return ids_of, np.array([max(parsed.values()) + 1], "<u2").tobytes()
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=parsed, special_tokens={}), end
 
 
-def sequences(documents: DataFrame, ranks: bytes, pattern: str, length: int = LENGTH) -> DataFrame:
-    """(doc_id, part, ids) of every whole `text`: its tokens and an end mark, cut into sequences of `length` tokens.
+def sequences(
+    documents: DataFrame, ranks: bytes, pattern: str, length: int = LENGTH, place: tuple[str, str] | None = None
+) -> DataFrame:
+    """(doc_id, part, ids, run, at) of every whole `text`: its tokens and an end mark, cut into `length` tokens each.
 
     The last sequence of a document is shorter. A null or empty text is its end mark alone, so no document is lost.
+    `at` numbers the sequences of a run of rows, `run` is the run's number in its task, and `file` and `row` say where it
+    begins. With `place`, the columns of a row's file and its number there, a run is a stretch of a file that one task
+    reads; without it, all that a task reads.
     """
     ship_code(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast((ranks, pattern))
-    state: dict = {}
+    file, row = place or (F.lit(""), F.lit(0).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not state:
-            state["ids_of"], state["end"] = _encoder(*shared.value)
-        stride = 2 * length
-        for batch in batches:
-            rows = zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True)
-            out: tuple[list, list, list] = ([], [], [])
-            for doc, text in rows:
-                ids = state["ids_of"](text) + state["end"]
-                for part, start in enumerate(range(0, len(ids), stride)):
-                    out[0].append(doc), out[1].append(part), out[2].append(ids[start : start + stride])
-                if len(out[0]) >= 20_000:
-                    yield _sequence_batch(out)
-                    out = ([], [], [])
-            if out[0]:
-                yield _sequence_batch(out)
-
-    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(run, "doc_id long, part int, ids binary")
-
-
-def _sequence_batch(columns) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "part", "ids"]
-    )
+        library, end = _encoder(*shared.value)
+        end = np.array([end], "<u2")
+        task = TaskContext.get().partitionId()
+        number, at, here, first = -1, 0, None, 0
+        for whole in batches:
+            for batch in byte_slices(whole, "text"):
+                out: list[list] = [[], [], [], [], [], [], []]
+                rows = zip(*[batch.column(c).to_pylist() for c in ("doc_id", "file", "row")], texts_of(batch), strict=True)
+                for doc, own, line, text in rows:
+                    if here != (own, line - 1):
+                        if number < 0 or place:
+                            number, at, first = number + 1, 0, line
+                    here = (own, line)
+                    ids = np.append(library.encode_to_numpy(text, disallowed_special=()).astype("<u2"), end).tobytes()
+                    for part, start in enumerate(range(0, len(ids), 2 * length)):
+                        values = (doc, part, ids[start : start + 2 * length], (task << _RUN_SHIFT) | number, at, own, first)
+                        for column, value in zip(out, values, strict=True):
+                            column.append(value)
+                        at += 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(out, _KINDS, strict=True)],
+                    names=["doc_id", "part", "ids", "run", "at", "file", "row"],
+                )
+        give_back()
+
+    narrow = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(file).alias("file") if place else file.alias("file"),
+        (F.col(row) if place else row).alias("row"),
+    )
+    return narrow.mapInArrow(run, "doc_id long, part int, ids binary, run long, at long, file string, row long")
 
 
 def materialise(
@@ -165,50 +143,48 @@ def materialise(
     key: bytes = KEY,
     length: int = LENGTH,
     per_shard: int = PER_SHARD,
+    place: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Write the sequences of all documents in training order and return the shards as written.
 
     One row per shard: `shard`, `first_slot`, `payload` of records of 2 x `length` bytes (ids as little-endian unsigned
     16-bit integers, filled up with 65535), and per record the document, the part of it and the number of ids. All
-    shards but the last have `per_shard` records. The same table read in the same splits gives the same order for the
-    same key. Repeated rows and ids are sequences of their own; a null id is kept. An empty table gives no shards.
+    shards but the last have `per_shard` records. With `place`, the columns
+    of a row's file and of its number there, the order is fixed by the key and the files; else by the key and the splits. Repeated rows and ids are sequences of their own; a null id is kept. An empty table gives no shards.
     """
     spark = documents.sparkSession
     path = path or scratch_path(spark, "training-order")
-    rows = _packed(
-        sequences(documents, ranks, pattern, length).withColumn("_at", F.monotonically_increasing_id()),
-        scratch_path(spark, "sequences"),
-    )
-    part = F.shiftright("_at", _PART_SHIFT)
-    # One row per part of the table.
-    sizes = dict(rows.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    rows = _packed(sequences(documents, ranks, pattern, length, place), scratch_path(spark, "sequences"))
+    # One row per stretch of a file that one task has read.
+    found = rows.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.first("file").alias("file"), F.first("row").alias("row"))
     offsets, n = {}, 0
-    for p in sorted(sizes):
-        offsets[p], n = n, n + sizes[p]
+    for r in sorted(found.collect(), key=lambda r: (r["file"], r["row"], r["run"])):
+        offsets[r["run"]], n = n, n + r["n"]
     n_shards = -(-n // per_shard)
     partitions = max(1, min(n_shards, shuffle_partitions(spark)))
 
     @F.arrow_udf("long")
-    def slot_of(at: pa.Array) -> pa.Array:
-        numbers = np.asarray(at, np.int64)
-        parts, own = np.unique(numbers >> _PART_SHIFT, return_inverse=True)
-        first = np.array([offsets[p] for p in parts.tolist()], np.int64)
-        return pa.array(Feistel(n, key).slots(first[own] + (numbers & ((1 << _PART_SHIFT) - 1))), pa.int64())
+    def slot_of(run: pa.Array, at: pa.Array) -> pa.Array:
+        runs, own = np.unique(np.asarray(run, np.int64), return_inverse=True)
+        first = np.array([offsets[r] for r in runs.tolist()], np.int64)
+        return pa.array(Feistel(n, key).slots(first[own] + np.asarray(at, np.int64)), pa.int64())
 
-    placed = rows.withColumn("slot", slot_of("_at")).drop("_at")
+    placed = rows.select(slot_of("run", "at").alias("slot"), "doc_id", "part", "ids")
     dealt = placed.repartitionById(
         partitions, (F.floor(F.col("slot") / per_shard) * partitions / max(n_shards, 1)).cast("int")
     ).sortWithinPartitions("slot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, []
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("slot", "doc_id", "part", "ids")], strict=True):
-                if row[0] // per_shard != shard:
-                    if held:
-                        yield _shard_batch(held, length, per_shard)
-                    shard, held = row[0] // per_shard, []
-                held.append(row)
+            shard = batch.column("slot").to_numpy() // per_shard
+            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and stop > start and held[0].column("slot")[0].as_py() // per_shard != shard[start]:
+                    yield _shard_batch(held, length, per_shard)
+                    held = []
+                if stop > start:
+                    held.append(batch.slice(start, stop - start))
         if held:
             yield _shard_batch(held, length, per_shard)
 
@@ -222,14 +198,26 @@ def _packed(table: DataFrame, path: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
-def _shard_batch(rows: list[tuple], length: int, per_shard: int) -> pa.RecordBatch:
-    fill = np.array([PAD], "<u2").tobytes()
-    payload = b"".join(ids + fill * (length - len(ids) // 2) for *_, ids in rows)
-    first = rows[0][0]
-    values = [first // per_shard, first, [r[1] for r in rows], [r[2] for r in rows], [len(r[3]) // 2 for r in rows], payload]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
-    names = ["shard", "first_slot", "doc_ids", "parts", "sizes", "payload"]
-    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
+def _shard_batch(held: list[pa.RecordBatch], length: int, per_shard: int) -> pa.RecordBatch:
+    """One shard of its records, each filled up to the stride."""
+    rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    ids = rows.column("ids")
+    sizes = pc.binary_length(ids).to_numpy() // 2
+    records = np.full((len(sizes), length), PAD, "<u2")
+    records[np.arange(length) < sizes[:, None]] = np.frombuffer(b"".join(x.as_buffer() for x in ids), "<u2")
+    first = rows.column("slot")[0].as_py()
+    whole = pa.array([0, len(sizes)], pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([first // per_shard], pa.int64()),
+            pa.array([first], pa.int64()),
+            pa.ListArray.from_arrays(whole, rows.column("doc_id")),
+            pa.ListArray.from_arrays(whole, rows.column("part")),
+            pa.ListArray.from_arrays(whole, pa.array(sizes, pa.int32())),
+            pa.array([records.tobytes()], pa.binary()),
+        ],
+        names=["shard", "first_slot", "doc_ids", "parts", "sizes", "payload"],
+    )
 
 
 def read_shards(spark: SparkSession, path: str, from_slot: int = 0, per_shard: int = PER_SHARD) -> DataFrame:
@@ -244,22 +232,23 @@ def positions(shards: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                count = len(row["sizes"])
-                stride = len(row["payload"]) // count
-                view = memoryview(row["payload"])
+            for row in range(batch.num_rows):
+                first, shard = batch.column("first_slot")[row].as_py(), batch.column("shard")[row].as_py()
+                docs, parts, sizes = (batch.column(c)[row].values for c in ("doc_ids", "parts", "sizes"))
+                view = memoryview(batch.column("payload")[row].as_buffer())
+                count, stride = len(sizes), len(view) // len(sizes)
                 digests = [
                     hashlib.sha256(view[i * stride : i * stride + 2 * size]).hexdigest()
-                    for i, size in enumerate(row["sizes"])
+                    for i, size in enumerate(sizes.to_pylist())
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(count) + row["first_slot"], pa.int64()),
-                        pa.array([row["shard"]] * count, pa.int64()),
-                        pa.array(range(count), pa.int32()),
-                        pa.array(row["doc_ids"], pa.int64()),
-                        pa.array(row["parts"], pa.int32()),
-                        pa.array(row["sizes"], pa.int32()),
+                        pa.array(np.arange(count) + first, pa.int64()),
+                        pa.array(np.full(count, shard), pa.int64()),
+                        pa.array(np.arange(count), pa.int32()),
+                        docs,
+                        parts,
+                        sizes,
                         pa.array(digests, pa.string()),
                     ],
                     names=["slot", "shard", "position", "doc_id", "part", "n_tokens", "ids_sha256"],

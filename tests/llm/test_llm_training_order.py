@@ -58,3 +58,31 @@ def test_resume_and_empty(spark):
     to.materialise(docs, RANKS, public_tokenizers.PATTERN, path=path, per_shard=8)
     assert [r.shard for r in to.read_shards(spark, path, from_slot=20, per_shard=8).orderBy("shard").collect()] == [2, 3, 4, 5, 6]
     assert to.materialise(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_the_order_does_not_depend_on_splits(spark):
+    from pyspark.sql import functions as F
+
+    from clipcurate.session import scratch_path
+
+    path = scratch_path(spark, "documents")
+    docs = spark.range(0, 3000, 1, 3).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), (F.col("id") % 90).cast("int")).alias("text"))
+    docs.write.option("parquet.block.size", 8192).parquet(path)
+    found = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("3k", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            table = spark.read.parquet(path).select("doc_id", "text", "_metadata.file_name", "_metadata.row_index")
+            shards = to.materialise(table, RANKS, public_tokenizers.PATTERN, length=64, place=("file_name", "row_index"))
+            found.append({(r.doc_id, r.part): r.slot for r in to.positions(shards).collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found[0] == found[1] and len(found[0]) > 3000
+
+
+def test_very_long_texts_without_spaces(spark):
+    docs = spark.createDataFrame([(1, "ab" * 500_000), (2, "word " * 300_000)], "doc_id long, text string")
+    rows = {(r.doc_id, r.part): r.n_tokens for r in to.positions(to.materialise(docs, RANKS, public_tokenizers.PATTERN)).collect()}
+    for doc, text in ((1, "ab" * 500_000), (2, "word " * 300_000)):
+        assert sum(n for (d, _), n in rows.items() if d == doc) == len(LIBRARY.encode_ordinary(text)) + 1
