@@ -13,6 +13,8 @@ from clipcurate.llm.common import table
 from clipcurate.session import ship_code, written
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Rows that go to a Python worker at once. All columns go along, so that more rows only cost memory.
+ARROW_ROWS = 1_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +42,24 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return bpe.encode(docs, bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
 
 
+
+def _in_small_batches(stage):
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("language", keep_known_languages),
-    ("near_dedup", drop_near_copies),
-    ("decontamination", drop_benchmark),
-    ("byte_bpe", encode_tokens),
+    (name, _in_small_batches(stage))
+    for name, stage in (
+        ("toxicity", drop_toxic),
+        ("language", keep_known_languages),
+        ("near_dedup", drop_near_copies),
+        ("decontamination", drop_benchmark),
+        ("byte_bpe", encode_tokens),
+    )
 ]
 
 #: The stages learn models and follow links to any depth, which SQL cannot express; tests hold them against brute force.
