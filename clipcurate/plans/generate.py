@@ -34,14 +34,14 @@ def generation_plan(
     """Every text for every reference voice and setting.
 
     The sample number of a text is its place in the text list, the same for each voice, so texts are
-    numbered once before they are paired. With several settings every setting has a folder of its own, so that no
-    file is written twice.
+    numbered once before they are paired. The files of the default setting lie in the output folder, those of any
+    other setting in a folder of its name, so no file is written twice and a further setting renames nothing.
     """
     numbered = number_rows(texts.select("text", *text_order), *text_order, name="sample_no")
     per_voice = with_each(
         numbered.select("sample_no", "text"), references.select("ref_name", "ref_path"), "ref_name"
     )
-    folder = F.concat(F.col("preset"), F.lit("/")) if settings.count() > 1 else F.lit("")
+    folder = F.when(F.col("preset") == DEFAULT_PRESET[0], "").otherwise(F.concat("preset", F.lit("/")))
     return with_each(per_voice, settings, "preset").withColumn(
         "file", F.concat(folder, sample_file(F.col("ref_name"), F.col("sample_no")))
     )

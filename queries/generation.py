@@ -96,7 +96,7 @@ ORACLE = {
         "select ref_name, sample_no, text, file from plan where preset = 'balanced'", "plan"
     ),
     "q_gen_presets": views.sql(
-        """select ref_name, preset, exaggeration, cfg_weight, sample_no, concat(preset, '/', file) as file
+        """select ref_name, preset, exaggeration, cfg_weight, sample_no, case when preset = 'balanced' then file else concat(preset, '/', file) end as file
            from plan""",
         "plan",
     ),
