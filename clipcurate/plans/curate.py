@@ -21,6 +21,8 @@ from clipcurate.sources.ledger import read_ledger
 
 # How clips that a ledger records are left out.
 Skip = Callable[[DataFrame, DataFrame, tuple[str, ...]], DataFrame]
+# How new clips get their frames and sampling rates, if a scan without audio gave them none.
+Measure = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -44,22 +46,33 @@ class Curator:
         return ("id",) if languages is not None and len(languages) == 1 else CLIP_KEY
 
     def measured(
-        self, clips: DataFrame, ledger: DataFrame | None = None, skip: Skip = not_processed
+        self,
+        clips: DataFrame,
+        ledger: DataFrame | None = None,
+        skip: Skip = not_processed,
+        measure: Measure | None = None,
     ) -> DataFrame:
-        """First copies of new clips, with every verdict that needs no speakers."""
+        """First copies of new clips, with every verdict that needs no speakers.
+
+        With `measure`, clips come without frames and sampling rate, and only new ones are measured.
+        """
         rows = verdict.in_languages(clips, self.config.languages)
         rows = take_first(rows, self.config.max_samples, *SOURCE_ORDER)
         rows = keep_first(rows, self.key)
         if ledger is not None:
             rows = skip(rows, verdict.in_languages(ledger, self.config.languages), self.key)
+        if measure is not None:
+            rows = measure(rows)
         return verdict.with_measures(rows).withColumn(
             "verdict", verdict.measured_verdict(self.config)
         )
 
     def to_diarize(self, clips: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
         """The clips that pass every cheaper test, so that a model sees no others."""
-        rows = self.measured(clips, ledger).where(F.col("verdict") == verdict.KEPT)
-        return rows.select("id", *SOURCE_ORDER)
+        return self.passing(self.measured(clips, ledger))
+
+    def passing(self, measured: DataFrame) -> DataFrame:
+        return measured.where(F.col("verdict") == verdict.KEPT).select("id", "language", *SOURCE_ORDER)
 
     def verdicts(
         self,
@@ -68,10 +81,12 @@ class Curator:
         ledger: DataFrame | None = None,
         skip: Skip = not_processed,
     ) -> DataFrame:
+        return self.judged(self.measured(clips, ledger, skip), diarization)
+
+    def judged(self, measured: DataFrame, diarization: DataFrame | None = None) -> DataFrame:
+        """The verdicts of measured clips, once their speakers are known."""
         speakers = None if diarization is None else single_speaker(diarization)
-        rows = verdict.apply_speakers(
-            self.measured(clips, ledger, skip), speakers, self.config.languages
-        )
+        rows = verdict.apply_speakers(measured, speakers, self.config.languages)
         return rows.withColumn("run_id", F.lit(self.config.run_id))
 
     def run(
@@ -89,15 +104,18 @@ class Curator:
         ledger_path: str,
         diarization: DataFrame | None = None,
         scanned: DataFrame | None = None,
+        measured: DataFrame | None = None,
     ) -> CurationResult:
         """Append this run's verdicts to the ledger; manifest and counts are then read from it.
 
         Counts cover the whole ledger, so a resumed run reports the same as one that never stopped. Their
-        total is that of `scanned`, the table that the clips were chosen from.
+        total is that of `scanned`, the table that the clips were chosen from. `measured`, if the caller has it
+        already, are the new ones of the clips.
         """
         spark = clips.sparkSession
-        done = read_ledger(spark, ledger_path)
-        append_ledger(self.verdicts(clips, diarization, done), ledger_path, self.config.run_id)
+        if measured is None:
+            measured = self.measured(clips, read_ledger(spark, ledger_path))
+        append_ledger(self.judged(measured, diarization), ledger_path, self.config.run_id)
         rows = verdict.in_languages(read_ledger(spark, ledger_path), self.config.languages)
         counts = funnel(clips if scanned is None else scanned, rows)
         return CurationResult(rows, pack.manifest(rows), counts)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clipcurate.plans.progress import WAVE_UNITS, run_in_units
 from clipcurate.schemas import DIARIZATION, GENERATION_LOG
 from clipcurate.session import written
 
@@ -20,6 +21,9 @@ Diarizer = Callable[[bytes, int], Iterable[tuple[float, float, str]]]
 # (text, reference path, exaggeration, cfg weight, file name) -> (frames, rate)
 Synthesizer = Callable[[str, str, float, float, str], tuple[int, int]]
 
+# The status of a clip whose diarizer took its worker down.
+CRASHED = "error: crashed"
+
 _DIARIZATION_COLUMNS = DIARIZATION.fieldNames()
 _LOG_COLUMNS = GENERATION_LOG.fieldNames()
 
@@ -41,6 +45,41 @@ def diarize(clips: DataFrame, make_diarizer: Callable[[], Diarizer]) -> DataFram
     A failing clip is recorded and the rest go on. The result is written once, because a model must not run again for
     every use of its output.
     """
+    return written(_diarized(clips, make_diarizer), "diarization")
+
+
+def diarize_in_units(
+    clips: DataFrame,
+    wanted: DataFrame,
+    make_diarizer: Callable[[], Diarizer],
+    folder: str,
+    wave_units: int = WAVE_UNITS,
+    most_waves: int | None = None,
+) -> DataFrame:
+    """`diarize` of the `wanted` clips `(language, id, unit)`, finished unit by unit in a folder of progress.
+
+    A clip of which the folder has rows is not heard again, whatever became of the run that heard it. A clip that kills
+    its worker is recorded as `error: crashed`. `clips` has the audio, and `src_file` if it names the source files: only
+    the files of a wave are then read for it. Rows of clips that are no longer wanted stay in the result.
+    """
+    place = [c for c in ("src_file", "src_row") if c in clips.columns and c in wanted.columns]
+    schema = _diarized(clips.limit(0), make_diarizer).schema
+
+    def work(keys: DataFrame) -> DataFrame:
+        audio = clips
+        if place:
+            audio = clips.where(F.col("src_file").isin(*[r[0] for r in keys.select("src_file").distinct().collect()]))
+        return _diarized(audio.join(keys.select("language", "id", *place), ["language", "id", *place], "left_semi"), make_diarizer)
+
+    def give_up(keys: DataFrame) -> DataFrame:
+        values = {"clip_id": F.col("id"), "language": F.col("language"), "status": F.lit(CRASHED)}
+        return keys.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    key = {"language": "language", "id": "clip_id"}
+    return run_in_units(wanted, work, give_up, folder, schema, key, wave_units, most_waves)
+
+
+def _diarized(clips: DataFrame, make_diarizer: Callable[[], Diarizer]) -> DataFrame:
     with_language = "language" in clips.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,7 +102,7 @@ def diarize(clips: DataFrame, make_diarizer: Callable[[], Diarizer]) -> DataFram
         *(["language"] if with_language else []),
     )
     schema = T.StructType([*DIARIZATION.fields, *[f for f in inputs.schema.fields if f.name == "language"]])
-    return written(inputs.mapInPandas(run, schema), "diarization")
+    return inputs.mapInPandas(run, schema)
 
 
 def _generate_one(synthesizer: Synthesizer, row) -> tuple:

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from clipcurate.config import CurationConfig
 from clipcurate.functions.audio import duration_ms, duration_seconds
 from clipcurate.functions.names import wav_path
+from clipcurate.functions.text import clean_text
 from clipcurate.operators import pack
 from clipcurate.operators.dedup import SOURCE_ORDER
 from clipcurate.operators.funnel import clean_counts
-from clipcurate.operators.verdict import in_languages
+from clipcurate.operators.verdict import in_languages, text_ok
 from clipcurate.plans import generate as generation
 from clipcurate.plans.curate import CurationResult, Curator
-from clipcurate.plans.hooks import Diarizer, Synthesizer, diarize, generate
+from clipcurate.plans.hooks import Diarizer, Synthesizer, diarize_in_units, generate
+from clipcurate.plans.progress import source_unit
 from clipcurate.session import written
 from clipcurate.sinks import tables
 from clipcurate.sinks.text import write_manifests
@@ -32,6 +34,7 @@ LEDGER_FOLDER = "ledger"
 STATS_FOLDER = "stats"
 LOG_FOLDER = "generation_log"
 MISSING_FOLDER = "missing"
+PROGRESS_FOLDER = "progress"
 
 
 def clip_index(raw: DataFrame) -> DataFrame:
@@ -47,6 +50,19 @@ def clip_index(raw: DataFrame) -> DataFrame:
     )
 
 
+def with_headers(rows: DataFrame, clips: DataFrame, config: CurationConfig) -> DataFrame:
+    """New clips with the frames and rates of their audio, read for those whose text passes.
+
+    Only the files that hold such clips are read. Their names come to the driver, as they do for any scan.
+    """
+    rows = written(rows, "new-clips")
+    passing = rows.withColumn("clean_text", clean_text(F.col("text"))).where(text_ok(config))
+    files = [r[0] for r in passing.select("src_file").distinct().collect()]
+    headers = clip_index(clips.where(F.col("src_file").isin(*files))).select(*SOURCE_ORDER, "frames", "sampling_rate")
+    wanted = headers.join(passing.select(*SOURCE_ORDER), list(SOURCE_ORDER), "left_semi")
+    return rows.join(wanted, list(SOURCE_ORDER), "left").select(*rows.columns, "frames", "sampling_rate")
+
+
 def clean_manifest(clean: DataFrame) -> DataFrame:
     """Curated clips in the shape of kept clips; durations come from the audio again."""
     frames, rate = F.col("frames"), F.col("audio.sampling_rate")
@@ -93,17 +109,29 @@ def curate_raw(
     config: CurationConfig = CurationConfig(),
     make_diarizer: Callable[[], Diarizer] | None = None,
 ) -> CurationResult:
+    """Curate one language; a run that was cut off goes on where it stopped.
+
+    Clips are folded, held against the ledger and tested by their text without their audio. Audio is read for what is
+    left, from the files that hold it: once for the headers and once, unit by unit, for the diarizer.
+    """
     curator = Curator(replace(config, languages=(language,)))
     raw = clip_source.read_raw(spark, raw_path)
-    index = written(clip_index(raw.where(F.col("language") == language)), "index")
+    clips = raw.where(F.col("language") == language)
+    narrow = clips.select("id", "language", "text", *SOURCE_ORDER)
     ledger_path = f"{out.rstrip('/')}/{LEDGER_FOLDER}"
+    measured = written(
+        curator.measured(
+            narrow, read_ledger(spark, ledger_path), measure=lambda rows: with_headers(rows, clips, curator.config)
+        ),
+        "measured",
+    )
     diarization = None
     if make_diarizer is not None:
-        wanted = curator.to_diarize(index, read_ledger(spark, ledger_path))
-        audio = raw.where(F.col("language") == language).select("id", "language", "audio", *SOURCE_ORDER)
-        chosen = audio.join(wanted, ["id", *SOURCE_ORDER], "left_semi")
-        diarization = diarize(chosen, make_diarizer)
-    result = curator.run_and_record(index, ledger_path, diarization, scanned=raw)
+        wanted = curator.passing(measured).withColumn("unit", source_unit())
+        audio = clips.select("id", "language", "audio", *SOURCE_ORDER)
+        progress = f"{out.rstrip('/')}/{PROGRESS_FOLDER}/{language}"
+        diarization = written(diarize_in_units(audio, wanted, make_diarizer, progress), "diarization")
+    result = curator.run_and_record(narrow, ledger_path, diarization, scanned=raw, measured=measured)
     write_manifests(result.kept, out, language)
     return result
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from clipcurate.functions import names
 from clipcurate.plans import generate as plans
-from clipcurate.plans.hooks import diarize, generate
+from clipcurate.plans.hooks import diarize, diarize_in_units, generate
+from clipcurate.session import scratch_path
 from queries import views
 
 
@@ -75,6 +76,16 @@ def diarize_hook(spark, d):
     return diarize(views.recordings(spark, d), make_stub_diarizer).drop("language")
 
 
+def diarize_units(spark, d):
+    """The same in units of a hundred conversations: a call that ends after some waves, and one that goes on."""
+    recordings = views.recordings(spark, d)
+    conversation = F.split("id", "-")[0].cast("long")
+    wanted = recordings.select("language", "id", F.call_function("div", conversation, F.lit(100).cast("long")).cast("string").alias("unit"))
+    folder = scratch_path(spark, "progress")
+    diarize_in_units(recordings, wanted, make_stub_diarizer, folder, wave_units=2, most_waves=1)
+    return diarize_in_units(recordings, wanted, make_stub_diarizer, folder).drop("language")
+
+
 QUERIES = {
     "q_gen_plan": gen_plan,
     "q_gen_presets": gen_presets,
@@ -83,6 +94,7 @@ QUERIES = {
     "q_references_sorted": references_sorted,
     "q_sample_names": sample_names,
     "q_diarize_hook": diarize_hook,
+    "q_diarize_units": diarize_units,
 }
 
 _LOG = """(select ref_name, preset, sample_no, text,
@@ -122,3 +134,4 @@ ORACLE = {
         "recordings",
     ),
 }
+ORACLE["q_diarize_units"] = ORACLE["q_diarize_hook"]
