@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -99,3 +99,23 @@ def single_speaker(diarization: DataFrame, slice_us: int = SLICE_US) -> DataFram
     profile = overlap_profile(diarization, slice_us)
     passes = F.col("at_most_one_speaker") & ~F.col("has_overlap") & ~F.col("failed")
     return profile.select(*clip_key(profile), passes.alias("single_speaker"))
+
+
+def single_speaker_of(segments: Column, status: Column) -> Column:
+    """The same test of one clip whose segments `(start_us, end_us, speaker)` are an array in its row.
+
+    Segments without bounds are silence. A null array is a clip without segments.
+    """
+    here = F.filter(
+        F.coalesce(segments, F.array()), lambda s: s["start_us"].isNotNull() | s["end_us"].isNotNull()
+    )
+    bad = F.exists(
+        here,
+        lambda s: (s["start_us"].isNull() != s["end_us"].isNull()) | F.coalesce(s["end_us"] < s["start_us"], F.lit(False)),
+    )
+    ordered = F.array_sort(F.transform(here, lambda s: F.struct(s["start_us"].alias("start"), s["end_us"].alias("end"))))
+    neighbours = F.arrays_zip(ordered.alias("a"), F.slice(ordered, 2, F.greatest(F.size(ordered), F.lit(1))).alias("b"))
+    overlap = F.exists(neighbours, lambda n: F.coalesce(n["b"]["start"] < n["a"]["end"], F.lit(False)))
+    speakers = F.array_distinct(F.filter(F.transform(here, lambda s: s["speaker"]), lambda x: x.isNotNull()))
+    failed = F.coalesce(status != "ok", F.lit(True))
+    return (F.size(speakers) <= 1) & ~overlap & ~bad & ~failed

@@ -10,6 +10,7 @@ from clipcurate.operators import candidates, dedup, funnel, ordering, pack, resu
 from clipcurate.plans.curate import Curator
 from clipcurate.session import scratch_path, written
 from clipcurate.streaming.curate import curate_stream, read_stream_ledger
+from clipcurate.streaming.speakers import curate_stream_with_speakers
 from queries import views
 
 CURATOR = Curator()
@@ -223,6 +224,37 @@ def ledger_mixed(spark, d):
     return read_stream_ledger(spark, path).select(*VERDICT_COLUMNS)
 
 
+def _deliveries(spark, d, folder):
+    """Three deliveries each of clips and of hearings: a third of the documents, and the hearings of another third."""
+    third = F.substring_index("id", "-", 1).cast("long") % 3
+    clips = views.clips(spark, d).withColumn("delivery", third)
+    segment = F.struct("start_us", "end_us", "speaker")
+    heard = views.diarization(spark, d).groupBy("clip_id").agg(F.collect_list(segment).alias("segments"), F.max("status").alias("status"))
+    ids = clips.select(F.col("id").alias("clip_id"), "language", ((F.col("delivery") + 1) % 3).alias("delivery"))
+    heard = ids.join(heard, "clip_id").withColumnRenamed("clip_id", "id")
+    for name, rows in (("clips", clips), ("hearings", heard)):
+        arrived = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("delivery") * 3600).alias("arrived")
+        rows.select("*", arrived).write.partitionBy("delivery").parquet(f"{folder}/{name}")
+
+
+def stream_speakers(spark, d):
+    """Clips and hearings as they arrive, in mixed order, one run for each delivery."""
+    folder = scratch_path(spark, "deliveries")
+    _deliveries(spark, d, folder)
+    path = scratch_path(spark, "ledger")
+
+    def stream(name, delivery):
+        schema = spark.read.parquet(f"{folder}/{name}").drop("delivery").schema
+        upto = "{" + ",".join(str(i) for i in range(delivery + 1)) + "}"
+        return spark.readStream.schema(schema).parquet(f"{folder}/{name}/delivery={upto}")
+
+    for delivery in range(3):
+        curate_stream_with_speakers(
+            stream("clips", delivery), stream("hearings", delivery), path, f"{path}-progress", wait="3 hours"
+        ).awaitTermination()
+    return read_stream_ledger(spark, path).select(*VERDICT_COLUMNS)
+
+
 QUERIES = {
     "q_clip_scan_profile": clip_scan_profile,
     "q_language_filter": language_filter,
@@ -256,6 +288,7 @@ QUERIES = {
     "q_ledger": ledger_rows,
     "q_stream_resume": stream_resume,
     "q_ledger_mixed": ledger_mixed,
+    "q_stream_speakers": stream_speakers,
 }
 
 
@@ -408,4 +441,5 @@ ORACLE = {
     "q_ledger": views.sql(f"select *, 'first' as run_id from ({_SQL_FIRST_RUN})", "measured", "speakers"),
     "q_stream_resume": views.sql(_SQL_FIRST_RUN, "measured", "speakers"),
     "q_ledger_mixed": views.sql(_SQL_FIRST_RUN, "measured", "speakers"),
+    "q_stream_speakers": views.sql(_SQL_FIRST_RUN, "measured", "speakers"),
 }
