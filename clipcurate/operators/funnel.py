@@ -45,6 +45,28 @@ def funnel(clips: DataFrame, verdicts: DataFrame) -> DataFrame:
     return counts.select(totals.scalar().alias("total"), *counts.columns)
 
 
+def funnel_of_counts(counts: DataFrame) -> DataFrame:
+    """The same row per language from partial counts `(language, verdict, clips)` of any number of runs."""
+    clips = F.col("clips")
+
+    def of(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("verdict") == name, clips)), F.lit(0))
+
+    return counts.groupBy("language").agg(
+        F.sum("clips").alias("lang_filtered"),
+        of(v.DUPLICATE).alias("duplicates"),
+        *[of(name).alias(name) for name in v.VERDICTS],
+    )
+
+
+def total_funnel(clips: DataFrame, by_language: DataFrame) -> DataFrame:
+    """One row for a run from a row per language. `total` counts every scanned clip, of any language."""
+    total = clips.agg(F.count(F.lit(1)).alias("total"))
+    names = [c for c in by_language.columns if c != "language"]
+    counts = by_language.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    return counts.select(total.scalar().alias("total"), *names)
+
+
 def verdict_counts(verdicts: DataFrame) -> DataFrame:
     return verdicts.groupBy("language", "verdict").agg(
         F.count(F.lit(1)).alias("clips"), F.sum("duration_ms").alias("duration_ms")

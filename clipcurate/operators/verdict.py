@@ -25,6 +25,9 @@ VERDICTS = (
     KEPT,
 )
 
+# What partial counts call a later copy of a clip; no clip has it as its verdict.
+DUPLICATE = "duplicate"
+
 
 def in_languages(clips: DataFrame, languages: tuple[str, ...] | None) -> DataFrame:
     return clips if languages is None else clips.where(F.col("language").isin(*languages))

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from clipcurate.config import CurationConfig
 from clipcurate.operators import pack, verdict
 from clipcurate.operators.dedup import CLIP_KEY, SOURCE_ORDER, keep_first
-from clipcurate.operators.funnel import funnel
+from clipcurate.operators.funnel import funnel, funnel_of_counts, total_funnel
 from clipcurate.operators.ordering import take_first
 from clipcurate.operators.resume import not_processed
 from clipcurate.operators.segments import single_speaker
+from clipcurate.plans.increments import read_counts, record_copies
 from clipcurate.sinks.tables import append_ledger
 from clipcurate.sources.ledger import read_ledger
 
@@ -108,14 +109,17 @@ class Curator:
     ) -> CurationResult:
         """Append this run's verdicts to the ledger; manifest and counts are then read from it.
 
-        Counts cover the whole ledger, so a resumed run reports the same as one that never stopped. Their
-        total is that of `scanned`, the table that the clips were chosen from. `measured`, if the caller has it
-        already, are the new ones of the clips.
+        Counts cover the whole ledger, so a resumed run reports the same as one that never stopped, later copies
+        included. Their total is that of `scanned`, the table that the clips were chosen from. `measured`, if the
+        caller has it already, are the new ones of the clips.
         """
         spark = clips.sparkSession
         if measured is None:
             measured = self.measured(clips, read_ledger(spark, ledger_path))
-        append_ledger(self.judged(measured, diarization), ledger_path, self.config.run_id)
+        key = append_ledger(self.judged(measured, diarization), ledger_path, self.config.run_id)
+        seen = take_first(verdict.in_languages(clips, self.config.languages), self.config.max_samples, *SOURCE_ORDER)
+        record_copies(seen, ledger_path, key)
         rows = verdict.in_languages(read_ledger(spark, ledger_path), self.config.languages)
-        counts = funnel(clips if scanned is None else scanned, rows)
+        by_language = verdict.in_languages(funnel_of_counts(read_counts(spark, ledger_path)), self.config.languages)
+        counts = total_funnel(clips if scanned is None else scanned, by_language)
         return CurationResult(rows, pack.manifest(rows), counts)

@@ -60,6 +60,15 @@ LEDGER = T.StructType(
 
 # The partition column of a written ledger: one folder per run or micro-batch.
 RUN_KEY = "run_key"
+# Below it, rows are split by a hash of the id. Fixed values of the layout: the column and the number of buckets.
+BUCKET = "bucket"
+BUCKETS = 32
+
+# Where a later copy of a recorded clip lies, and partial counts of what a run or micro-batch has recorded.
+DUPLICATES = "language string, id string, src_file string, src_row long"
+COUNTS = "run_key string, language string, verdict string, clips long, duration_ms long"
+# The run folders that a compacted one stands for.
+GENERATIONS = "generation string, run_key string"
 
 MANIFEST_ENTRY = T.StructType(
     [

@@ -76,13 +76,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def delete_folder(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
     """Delete scratch tables of this driver, all or those named, once no result that reads them is needed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for name in list(_scratch) if paths is None else paths:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
+        delete_folder(spark, name)
         if name in _scratch:
             _scratch.remove(name)
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from clipcurate.functions.names import shard_name
 from clipcurate.operators.pack import with_defaults
-from clipcurate.schemas import CLEAN_CLIP, LEDGER, RUN_KEY
+from clipcurate.schemas import BUCKET, CLEAN_CLIP, LEDGER, RUN_KEY
+from clipcurate.sources.ledger import bucket_of
 
 # Fixed value: the folder of packed shards.
 SHARD_FOLDER = "data/train"
@@ -61,14 +62,17 @@ def ledger_part(path: str, key: str) -> str:
 
 
 def write_ledger(verdicts: DataFrame, path: str, key: str) -> None:
-    """Write the verdict rows of one writer; doing it again with the same key replaces them."""
+    """Write the verdict rows of one writer, a folder per bucket; doing it again with the same key replaces them."""
     rows = verdicts.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields])
-    rows.write.mode("overwrite").parquet(ledger_part(path, key))
+    bucketed = rows.withColumn(BUCKET, bucket_of(F.col("id"))).repartition(BUCKET)
+    bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(ledger_part(path, key))
 
 
-def append_ledger(verdicts: DataFrame, path: str, run_id: str) -> None:
+def append_ledger(verdicts: DataFrame, path: str, run_id: str) -> str:
     """Add the verdict rows of one run. Every call has a folder of its own, so runs side by side do not meet."""
-    write_ledger(verdicts.withColumn("run_id", F.lit(run_id)), path, f"{run_id}.{uuid.uuid4().hex[:12]}")
+    key = f"{run_id}.{uuid.uuid4().hex[:12]}"
+    write_ledger(verdicts.withColumn("run_id", F.lit(run_id)), path, key)
+    return key
 
 
 def write_stats(stats: DataFrame, path: str) -> None:

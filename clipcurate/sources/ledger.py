@@ -3,27 +3,82 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipcurate.functions.names import path_stem
 from clipcurate.operators.verdict import KEPT
-from clipcurate.schemas import LEDGER, LEDGER_DOCUMENT, RUN_KEY
+from clipcurate.schemas import BUCKET, BUCKETS, DUPLICATES, GENERATIONS, LEDGER, LEDGER_DOCUMENT, RUN_KEY
 
 
-def read_ledger(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
-    """All verdict rows so far, of runs and micro-batches alike; no ledger yet means no rows.
+#: Folders beside a ledger: later copies, partial counts, and what compacted folders stand for.
+DUPLICATES_SUFFIX, COUNTS_SUFFIX, GENERATIONS_SUFFIX = "-duplicates", "-counts", "-generations"
+#: Run keys of compacted folders begin with this.
+GENERATION = "generation-"
 
-    A writer that may run again leaves out its own rows by its key.
-    """
-    schema = T.StructType([*LEDGER.fields, T.StructField(RUN_KEY, T.StringType())])
+
+def bucket_of(clip_id: Column) -> Column:
+    """The bucket of an id. A null id is in the first."""
+    return F.coalesce(F.pmod(F.crc32(clip_id.cast("binary")), F.lit(BUCKETS)), F.lit(0)).cast("int")
+
+
+def beside(path: str, suffix: str) -> str:
+    return path.rstrip("/") + suffix
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A table that may not be there yet."""
     try:
-        rows = spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema)
+
+
+def read_generations(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """The run folders that each compacted folder stands for: a row per folder that was compacted."""
+    found: dict[str, set[str]] = {}
+    for r in read_or_empty(spark, beside(path, GENERATIONS_SUFFIX), GENERATIONS).collect():
+        found.setdefault(r["generation"], set()).add(r["run_key"])
+    return found
+
+
+def stored_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a ledger with their `run_key` and `bucket`.
+
+    Folders that a recorded generation stands for do not count, nor does a generation that was never recorded.
+    """
+    layout = [T.StructField(RUN_KEY, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
+    rows = read_or_empty(spark, path, T.StructType([*LEDGER.fields, *layout]))
+    generations = read_generations(spark, path)
+    old = set().union(*generations.values())
+    key = F.col(RUN_KEY)
+    return rows.where(
+        ~key.isin(*old) & (~F.startswith(key, F.lit(GENERATION)) | key.isin(*generations))
+    )
+
+
+def read_ledger(
+    spark: SparkSession, path: str, without: str | None = None, buckets: list[int] | None = None
+) -> DataFrame:
+    """All verdict rows so far, of runs and micro-batches alike; no ledger yet means no rows.
+
+    A writer that may run again leaves out its own rows by its key. With `buckets`, only their files are read.
+    """
+    rows = stored_ledger(spark, path)
+    if without is not None:
+        rows = rows.where(~F.col(RUN_KEY).eqNullSafe(without))
+    if buckets is not None:
+        rows = rows.where(F.col(BUCKET).isin(*buckets))
+    return rows.drop(RUN_KEY, BUCKET)
+
+
+def read_duplicates(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """Where later copies of recorded clips lie."""
+    schema = T.StructType([*T._parse_datatype_string(DUPLICATES).fields, T.StructField(RUN_KEY, T.StringType())])
+    rows = read_or_empty(spark, beside(path, DUPLICATES_SUFFIX), schema)
     if without is not None:
         rows = rows.where(~F.col(RUN_KEY).eqNullSafe(without))
     return rows.drop(RUN_KEY)

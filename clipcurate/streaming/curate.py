@@ -7,13 +7,17 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clipcurate.operators import verdict
 from clipcurate.operators.resume import not_processed_small
 from clipcurate.plans.curate import Curator
-from clipcurate.session import release_scratch
+from clipcurate.plans.increments import record_copies
+from clipcurate.session import release_scratch, written
 from clipcurate.sinks.tables import write_ledger
-from clipcurate.sources.ledger import read_ledger
+from clipcurate.sources.ledger import bucket_of, read_ledger
+
 
 def read_stream_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return read_ledger(spark, ledger_path)
@@ -35,7 +39,7 @@ def curate_stream(
     """Curate what has arrived since the last run, then stop.
 
     The ledger is the only memory of past ids, so no streaming state grows with the data. It may hold the rows of
-    batch runs and of other streams as well. Each batch replaces its own ledger folder: redoing a batch after a
+    batch runs and of other streams as well; only the buckets of the batch's ids are read. Each batch replaces its own ledger folder: redoing a batch after a
     crash gives the same rows once. A limit on the number of clips is refused, as it would hold for each
     micro-batch and depend on how files arrive.
     """
@@ -45,10 +49,13 @@ def curate_stream(
     def record(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         key = batch_key(checkpoint, batch_id)
-        done = read_ledger(spark, ledger_path, without=key)
         scratch: list[str] = []
+        rows = written(prepare(batch), "batch", scratch)
+        buckets = [r[0] for r in rows.select(bucket_of(F.col("id"))).distinct().collect()]
+        done = read_ledger(spark, ledger_path, without=key, buckets=buckets)
         skip = partial(not_processed_small, used=scratch)
-        write_ledger(curator.verdicts(prepare(batch), diarization, done, skip=skip), ledger_path, key)
+        write_ledger(curator.verdicts(rows, diarization, done, skip=skip), ledger_path, key)
+        record_copies(verdict.in_languages(rows, curator.config.languages), ledger_path, key, buckets)
         release_scratch(spark, scratch)
 
     return (

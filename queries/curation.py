@@ -8,7 +8,10 @@ from clipcurate.config import CurationConfig
 from clipcurate.functions import audio, names, text
 from clipcurate.operators import candidates, dedup, funnel, ordering, pack, resume, segments, verdict
 from clipcurate.plans.curate import Curator
+from clipcurate.plans.increments import compact_ledger, read_counts
+from clipcurate.schemas import BUCKETS
 from clipcurate.session import scratch_path, written
+from clipcurate.sources.ledger import read_ledger
 from clipcurate.streaming.curate import curate_stream, read_stream_ledger
 from clipcurate.streaming.speakers import curate_stream_with_speakers
 from queries import views
@@ -187,6 +190,30 @@ def ledger_rows(spark, d):
     return _recorded_run(spark, d).verdicts.select(*VERDICT_COLUMNS, "run_id")
 
 
+def funnel_resumed(spark, d):
+    """The funnel after a run over the copies that came again and one over all deliveries: late copies count."""
+    path = scratch_path(spark, "ledger")
+    spoken = written(views.diarization(spark, d), "diarization")
+    delivered = views.delivered_clips(spark, d)
+    again = delivered.where(F.startswith("src_file", F.lit("re-")))
+    Curator(CurationConfig(run_id="first")).run_and_record(again, path, spoken)
+    Curator(CurationConfig(run_id="second")).run_and_record(delivered, path, spoken)
+    compact_ledger(spark, path)
+    return funnel.funnel_of_counts(read_counts(spark, path))
+
+
+def ledger_compacted(spark, d):
+    """The verdicts of a ledger whose run folders were put together, read bucket by bucket."""
+    path = scratch_path(spark, "ledger")
+    spoken = written(views.diarization(spark, d), "diarization")
+    clips = views.clips(spark, d)
+    for run_id, rows in (("first", clips.where("language = 'en'")), ("second", clips)):
+        Curator(CurationConfig(run_id=run_id)).run_and_record(rows, path, spoken)
+    compact_ledger(spark, path)
+    halves = [read_ledger(spark, path, buckets=list(range(n, BUCKETS, 2))) for n in range(2)]
+    return halves[0].unionByName(halves[1]).select(*VERDICT_COLUMNS)
+
+
 def stream_resume(spark, d):
     documents = views.table(spark, d, "documents")
     arriving = spark.readStream.schema(documents.schema).option("pathGlobFilter", "documents.parquet")
@@ -286,6 +313,8 @@ QUERIES = {
     "q_reference_candidates": reference_candidates,
     "q_length_bands": length_bands,
     "q_ledger": ledger_rows,
+    "q_funnel_resumed": funnel_resumed,
+    "q_ledger_compacted": ledger_compacted,
     "q_stream_resume": stream_resume,
     "q_ledger_mixed": ledger_mixed,
     "q_stream_speakers": stream_speakers,
@@ -439,6 +468,8 @@ ORACLE = {
               from (select {_sql_clean('text')} as t from conversations))
         group by 1""",
     "q_ledger": views.sql(f"select *, 'first' as run_id from ({_SQL_FIRST_RUN})", "measured", "speakers"),
+    "q_funnel_resumed": views.sql(f"select language, {_SQL_FUNNEL} from verdicts group by 1", "verdicts"),
+    "q_ledger_compacted": views.sql(_SQL_FIRST_RUN, "measured", "speakers"),
     "q_stream_resume": views.sql(_SQL_FIRST_RUN, "measured", "speakers"),
     "q_ledger_mixed": views.sql(_SQL_FIRST_RUN, "measured", "speakers"),
     "q_stream_speakers": views.sql(_SQL_FIRST_RUN, "measured", "speakers"),
