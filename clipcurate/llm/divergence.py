@@ -39,6 +39,8 @@ TILE_TERMS = 4_096
 SALTS = 8
 RANKED_TERMS = 1 << 16
 UNIT = 1_000_000_000
+# The sides of a tile that a source is on; in the tile of its own block it is on both.
+_BOTH, _LEFT, _RIGHT = 0, 1, 2
 _TERMS = re.compile(rb"[a-z\x80-\xff]+")
 _LOWER = np.array([b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 0 for b in range(256)], np.uint8)
 
@@ -324,12 +326,15 @@ def _pair_values(groups: DataFrame, counts: DataFrame) -> DataFrame:
     """
     blocks = F.ceil(F.col("sources") / TILE_SOURCES).cast("int")
     own = F.floor((F.col("number") - 1) / TILE_SOURCES).cast("int")
+
+    def place(i: Column, j: Column, side: int) -> Column:
+        return F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+
     places = F.flatten(
         F.transform(
             F.sequence(F.lit(0), blocks - 1),
-            lambda other: F.array(
-                F.struct(own.alias("i"), other.alias("j"), F.lit(True).alias("left")),
-                F.struct(other.alias("i"), own.alias("j"), F.lit(False).alias("left")),
+            lambda other: F.when(other == own, F.array(place(own, own, _BOTH))).otherwise(
+                F.array(place(own, other, _LEFT), place(other, own, _RIGHT))
             ),
         )
     )
@@ -342,11 +347,11 @@ def _pair_values(groups: DataFrame, counts: DataFrame) -> DataFrame:
         "lang", F.floor(F.col("ordinal") / TILE_TERMS).cast("int").alias("tile"), F.explode(places).alias("p"), "number",
         "ordinal", "n", "terms",
     )
-    rows = heads.unionByName(body).select("lang", "tile", "p.i", "p.j", "p.left", "number", "ordinal", "n", "terms")
+    rows = heads.unionByName(body).select("lang", "tile", "p.i", "p.j", "p.side", "number", "ordinal", "n", "terms")
 
     def sums(key: tuple, table: pa.Table) -> pa.Table:
         lang, tile, i, j = (k.as_py() for k in key)
-        left, number, ordinal, n = (table.column(c).to_numpy() for c in ("left", "number", "ordinal", "n"))
+        sides, number, ordinal, n = (table.column(c).to_numpy() for c in ("side", "number", "ordinal", "n"))
         terms = table.column("terms")[0].as_py()
         width = min(TILE_TERMS, terms - tile * TILE_TERMS)
 
@@ -359,7 +364,7 @@ def _pair_values(groups: DataFrame, counts: DataFrame) -> DataFrame:
             seen[np.searchsorted(names, number[body]), ordinal[body] - tile * TILE_TERMS] = n[body]
             return names, probability(seen + 1, (totals + terms)[:, None]) if width else seen
 
-        (a, p), (b, q) = side(left), side(~left)
+        (a, p), (b, q) = side(sides != _RIGHT), side(sides != _LEFT)
         value = np.array([((row - q) ** 2 // q).sum(axis=1) for row in p]) if width else np.zeros((len(a), len(b)), np.int64)
         one, two = np.repeat(a, len(b)), np.tile(b, len(a))
         apart = one != two
