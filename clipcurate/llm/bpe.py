@@ -17,13 +17,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from clipcurate.llm.common import map_rows, texts_of
+from clipcurate.llm.common import map_rows, remembered, texts_of
 
 #: Pieces of up to this many bytes are leaves of the tree, and up to this many merge by searching a short list.
 LEAF_BYTES = 6
 SHORT_BYTES = 48
-#: Distinct pieces, leaves and token pairs, each, that a task remembers before it forgets all of them.
+#: Distinct pieces that a worker remembers before it forgets all of them, and leaves and token pairs, each.
 MOST_KNOWN = 120_000
+MOST_PARTS = 60_000
 _NEVER = 1 << 40
 
 
@@ -92,7 +93,7 @@ class TreeEncoder:
         pair = (left, right)
         known = self._borders.get(pair)
         if known is None:
-            if len(self._borders) > MOST_KNOWN:
+            if len(self._borders) > MOST_PARTS:
                 self._borders.clear()
             known = self._borders[pair] = self.leaf(self.tokens[left] + self.tokens[right])
         return known
@@ -122,7 +123,7 @@ class TreeEncoder:
         if len(piece) <= LEAF_BYTES:
             known = self._leaves.get(piece)
             if known is None:
-                if len(self._leaves) > MOST_KNOWN:
+                if len(self._leaves) > MOST_PARTS:
                     self._leaves.clear()
                 known = self._leaves[piece] = self.leaf(piece)
             return known
@@ -159,8 +160,6 @@ class _Pieces(dict):
 class TextEncoder:
     """Encodes whole texts. Matches of the pattern are encoded separately and never merge with each other."""
 
-    _made: dict[tuple[bytes, str], TextEncoder] = {}
-
     def __init__(self, ranks: bytes, pattern: str):
         self.encoder = TreeEncoder(parse_ranks(ranks))
         self.split = regex.compile(pattern).findall
@@ -168,12 +167,8 @@ class TextEncoder:
 
     @classmethod
     def of(cls, ranks: bytes, pattern: str) -> TextEncoder:
-        """One encoder per worker process, vocabulary and pattern, so that tasks share what they remember."""
-        key = (hashlib.sha256(ranks).digest(), pattern)
-        if key not in cls._made:
-            cls._made.clear()
-            cls._made[key] = cls(ranks, pattern)
-        return cls._made[key]
+        """One encoder per worker process, so that tasks share what they remember until another operator comes."""
+        return remembered((hashlib.sha256(ranks).digest(), pattern), lambda: cls(ranks, pattern))
 
     def encode(self, text: str) -> bytes:
         if len(self.pieces) > MOST_KNOWN:
@@ -219,4 +214,4 @@ def encode(documents: DataFrame, ranks: bytes, pattern: str, ids: str | None = "
         out = [pa.array(n, pa.int64()), pa.array(digest), pa.array(decoded), pa.array(same, pa.bool_())]
         return [pa.array(coded, pa.binary()), *out] if ids else out
 
-    return map_rows(documents.select(*columns), run, ", ".join(f"`{k}` {v}" for k, v in added.items()))
+    return map_rows(documents.select(*columns), run, ", ".join(f"`{k}` {v}" for k, v in added.items()), keeps=True)

@@ -96,6 +96,23 @@ def byte_slices(batch: pa.RecordBatch, name: str, most: int | None = None) -> It
         start, before = stop, int(ends[stop - 1])
 
 
+_kept: dict = {}
+
+
+def remembered(key, make):
+    """What a worker process keeps from one task to the next: one thing, that of the operator that asked last."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def clear_worker() -> None:
+    """Forget what another operator has kept in this worker, and what the last task left behind."""
+    _kept.clear()
+    give_back()
+
+
 def give_back() -> None:
     """Return free memory to the system at the end of a task, as its worker goes on to other operators."""
     pa.default_memory_pool().release_unused()
@@ -104,16 +121,18 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def map_rows(df: DataFrame, function, added: str) -> DataFrame:
+def map_rows(df: DataFrame, function, added: str, keeps: bool = False) -> DataFrame:
     """`function(batch) -> list of arrays` gives the columns of `added` beside the batch's own.
 
     Batches are cut to `ROWS_AT_ONCE` rows, and a task gives free memory back when it ends, as its worker goes on to
-    other operators.
+    other operators. `keeps`: the function goes on with what it has `remembered` in the tasks before.
     """
     ship_code(df.sparkSession)
     schema = T.StructType(df.schema.fields + T._parse_datatype_string(added).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            clear_worker()
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(start, ROWS_AT_ONCE)

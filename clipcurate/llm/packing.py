@@ -115,7 +115,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """The token pieces of `text`: id, piece, start, length, ids (little-endian), and the rank of the piece.
+    """The token pieces of `text`: id, piece, start, length, ids (little-endian), their CRC-32, and the piece's rank.
 
     A document's ids are those of the tokenizer with `END` behind them; only longer ones than `capacity` are cut.
     `task` and `rank` number the pieces of one length within a task.
@@ -151,16 +151,17 @@ def pieces(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", capacity:
                         pa.array(start, pa.int64()),
                         pa.array(size, pa.int64()),
                         pa.array(data, pa.binary()),
+                        pa.array(map(zlib.crc32, data), pa.int64()),
                         pa.array([task] * len(at), pa.int32()),
                         pa.array(rank, pa.int64()),
                     ],
-                    names=["id", "piece", "start", "length", "ids", "task", "rank"],
+                    names=["id", "piece", "start", "length", "ids", "ids_crc32", "task", "rank"],
                 )
         give_back()
 
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(
-        run, f"id {kind}, piece int, start long, length long, ids binary, task int, rank long"
+        run, f"id {kind}, piece int, start long, length long, ids binary, ids_crc32 long, task int, rank long"
     )
 
 
@@ -194,23 +195,17 @@ def place(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return rows.mapInArrow(run, f"{rows._jdf.schema().toDDL()}, sequence_id long, offset long").drop("rank")
 
 
-def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, id_column: str = "doc_id", capacity: int = CAPACITY, keep_ids: bool = True
+) -> DataFrame:
     """Pack the tokens of all documents into sequences of at most `capacity`.
 
-    Returns one row per piece: `id`, `piece`, `start`, `length`, `ids` (little-endian unsigned 32-bit), `sequence_id`
-    from 0 without gaps, and `offset` in the sequence, without gaps from 0. A null text is an empty one, whose only
-    token is `END`; a null id stays; repeated rows are packed each for itself; an empty table gives no rows. Which of
-    the documents of one length goes to which bin follows the tasks that read them; the bins do not. Other columns of
-    the input, whatever their names, are not read.
+    Returns one row per piece: `id`, `piece`, `start`, `length`, `ids` (little-endian unsigned 32-bit), `ids_crc32`,
+    `sequence_id` from 0 without gaps, and `offset` in the sequence, without gaps from 0. A null text is an empty one,
+    whose only token is `END`; a null id stays; repeated rows are packed each for itself; an empty table gives no rows.
+    Which of the documents of one length goes to which bin follows the tasks that read them; the bins do not. Other
+    columns of the input, whatever their names, are not read. Without `keep_ids` only the narrow columns are written
+    and shuffled, which is a plan of the packing.
     """
-    return place(written(pieces(docs, tokenizer, id_column, capacity), "pieces"), capacity)
-
-
-def crc32_of(column: str):
-    """The unsigned CRC-32 of a binary column."""
-
-    @F.arrow_udf("long")
-    def crc(data: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(x.as_buffer()) for x in data], pa.int64())
-
-    return crc(F.col(column))
+    found = pieces(docs, tokenizer, id_column, capacity)
+    return place(written(found if keep_ids else found.drop("ids"), "pieces"), capacity)

@@ -110,11 +110,8 @@ def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token piece of the documents with its place in a packed sequence."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    packed = packing.pack(documents, public_tokenizers.path(WORDS))
-    return packed.select(
-        F.col("id").alias("doc_id"), "piece", "start", "length", packing.crc32_of("ids").alias("ids_crc32"),
-        "sequence_id", "offset",
-    )
+    packed = packing.pack(documents, public_tokenizers.path(WORDS), keep_ids=False)
+    return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 QUERIES = {

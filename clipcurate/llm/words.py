@@ -10,8 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from clipcurate.llm.common import remembered
+
 #: Distinct words, each, that a worker remembers before it forgets all of them. Results do not depend on it.
-MOST_KNOWN = 600_000
+MOST_KNOWN = 300_000
 #: What lies between spaces is plain if it has Latin letters, digits and signs only. An apostrophe is left to the
 #: library, as it begins tokens of its own.
 _PLAIN = "^[A-Za-z0-9!-&(-/:-@\\[-`{-~À-ÖØ-öø-ÿ]*$"
@@ -33,8 +35,6 @@ class WordIds:
     whole library. The ids of a text are those of its pieces in a row.
     """
 
-    _made: dict[str, WordIds] = {}
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -48,9 +48,7 @@ class WordIds:
     @classmethod
     def of(cls, path: str) -> WordIds:
         """One encoder per worker process and file."""
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        return remembered(path, lambda: cls(path))
 
     def _part(self, part: str) -> bytes:
         spelt = part if part.isascii() else part.encode().decode("latin-1").translate(self._letters)

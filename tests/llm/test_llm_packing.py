@@ -100,7 +100,10 @@ def test_every_piece_has_its_place(spark):
     texts = [*ODD, None, long, "same text", "same text"]
     rows = [(i, t, -1) for i, t in enumerate(texts)] + [(None, "no id", -1), (3, "a repeated id", -1), (3, "a repeated id", -1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, length int").withColumnRenamed("length", "rank").repartition(3)
-    found = packing.pack(docs, WORDS).withColumn("crc", packing.crc32_of("ids")).collect()
+    found = packing.pack(docs, WORDS).collect()
+    narrow = packing.pack(docs, WORDS, keep_ids=False)
+    assert "ids" not in narrow.columns
+    assert Counter((r.id, r.piece, r.ids_crc32) for r in narrow.collect()) == Counter((r.id, r.piece, r.ids_crc32) for r in found)
     want = Counter()
     for doc, text, _ in rows:
         ids = [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 0]
@@ -108,7 +111,7 @@ def test_every_piece_has_its_place(spark):
             want[doc, n, start, tuple(ids[start : start + 2048])] += 1
     got = Counter((r.id, r.piece, r.start, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in found)
     assert got == want
-    assert all(r.length == len(r.ids) // 4 and r.crc == zlib.crc32(r.ids) for r in found)
+    assert all(r.length == len(r.ids) // 4 and r.ids_crc32 == zlib.crc32(r.ids) for r in found)
     bins = {}
     for r in found:
         bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
