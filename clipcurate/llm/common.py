@@ -96,6 +96,16 @@ def byte_slices(batch: pa.RecordBatch, name: str, most: int | None = None) -> It
         start, before = stop, int(ends[stop - 1])
 
 
+def keeping(documents: DataFrame, taken: tuple[str, ...], function) -> DataFrame:
+    """`function(documents)`, a filter that makes columns of the `taken` names on its way.
+
+    Columns of the input that have these names, in any case, stand aside meanwhile and come out as they went in.
+    """
+    aside = {c: f"_own_{i}_{c}" for i, c in enumerate(documents.columns) if c.lower() in taken}
+    found = function(documents.withColumnsRenamed(aside))
+    return found.withColumnsRenamed({there: here for here, there in aside.items()})
+
+
 _kept: dict = {}
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipcurate.llm.common import map_rows, texts_of
+from clipcurate.llm.common import keeping, map_rows, texts_of
 
 #: Words of a window. An item with fewer is one window as a whole.
 WINDOW = 10
@@ -250,8 +250,13 @@ def remove(
 
     A span runs from the first byte of its first word to the last byte of its last one; what stands around it
     stays, so both sides remain apart. Untouched texts keep every byte; nulls stay null. A table with `n_chars`
-    gets the new length there.
+    gets the new length there; its other columns come out as they are, whatever their names.
     """
+    taken = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans", "_cut")
+    return keeping(documents, taken, lambda docs: _cut_out(docs, benchmark, window, most_covered, block_words))
+
+
+def _cut_out(documents: DataFrame, benchmark: DataFrame, window: int, most_covered: float, block_words: int) -> DataFrame:
     found = match(documents, benchmark, window, block_words, spans=True)
     found = found.where(~F.col("contaminated") | (F.col("n_hit") <= F.col("n_words") * most_covered))
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipcurate.llm.common import labelled_sample, map_rows, texts_of
+from clipcurate.llm.common import keeping, labelled_sample, map_rows, texts_of
 from clipcurate.llm.subword import Model, Space, WordRows, document_sums, train
 
 UNKNOWN = "und"
@@ -73,5 +73,9 @@ def _identifier(shared):
 
 
 def keep_identified(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents that `identify` does not reject, with their own columns."""
-    return identify(documents, model).where(~F.col("lang_rejected")).select(*documents.columns)
+    """The documents that `identify` does not reject, with their own columns, whatever their names."""
+
+    def known(docs: DataFrame) -> DataFrame:
+        return identify(docs, model).where(~F.col("lang_rejected")).select(*docs.columns)
+
+    return keeping(documents, ("lang_pred", "lang_score", "lang_rejected"), known)

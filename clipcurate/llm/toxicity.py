@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipcurate.llm.common import labelled_sample, map_rows, texts_of
+from clipcurate.llm.common import keeping, labelled_sample, map_rows, texts_of
 from clipcurate.llm.subword import MOST_KNOWN
 
 BUCKETS = 1 << 18
@@ -236,5 +236,9 @@ def _scorer(shared, threshold: float, located: bool):
 
 
 def keep_clean(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents not predicted toxic, with their own columns."""
-    return score(documents, model, threshold, located=False).where(F.col("toxic_pred") == 0).select(*documents.columns)
+    """The documents not predicted toxic, with their own columns, whatever their names."""
+
+    def clean(docs: DataFrame) -> DataFrame:
+        return score(docs, model, threshold, located=False).where(F.col("toxic_pred") == 0).select(*docs.columns)
+
+    return keeping(documents, ("toxic_score", "toxic_pred", "offending"), clean)
