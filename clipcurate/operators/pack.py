@@ -52,11 +52,14 @@ def missing_wavs(rows: DataFrame, listing: DataFrame) -> DataFrame:
     return missing.groupBy("language").agg(F.count(F.lit(1)).alias("missing"))
 
 
-def assign_shards(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def assign_shards(rows: DataFrame, shard_rows: int = SHARD_ROWS, after: int = 0) -> DataFrame:
     """Row and shard number of every clip in pack order. Pass narrow columns, without audio.
 
     Numbers run on from one language to the next, so a shard may hold the end of one and the start of
-    another, and every shard but the last has exactly `shard_rows` rows.
+    another, and every shard but the last has exactly `shard_rows` rows. `after` rows are packed already.
     """
     shard = F.call_function("div", F.col("row_no") - 1, F.lit(shard_rows).cast("long"))
-    return number_rows(rows, *PACK_ORDER).withColumn("shard_id", shard)
+    numbered = number_rows(rows, *PACK_ORDER)
+    if after:
+        numbered = numbered.withColumn("row_no", F.col("row_no") + F.lit(after).cast("long"))
+    return numbered.withColumn("shard_id", shard)

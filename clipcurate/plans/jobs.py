@@ -17,9 +17,11 @@ from clipcurate.operators.dedup import SOURCE_ORDER
 from clipcurate.operators.funnel import clean_counts
 from clipcurate.operators.verdict import in_languages, text_ok
 from clipcurate.plans import generate as generation
+from clipcurate.plans import packing
 from clipcurate.plans.curate import CurationResult, Curator
 from clipcurate.plans.hooks import Diarizer, Synthesizer, diarize_in_units, generate
 from clipcurate.plans.progress import source_unit
+from clipcurate.schemas import CLEAN_CLIP
 from clipcurate.session import written
 from clipcurate.sinks import tables
 from clipcurate.sinks.text import write_manifests
@@ -155,27 +157,30 @@ def curate_new_files(
 def pack_languages(
     spark: SparkSession, raw_path: str, out: str, languages: tuple[str, ...]
 ) -> DataFrame:
-    """Pack the kept clips of several languages into shards; returns and writes their counts.
+    """Pack the kept clips of several languages anew; returns and writes their counts."""
+    packing.start_over(spark, out)
+    return pack_new_clips(spark, raw_path, out, languages)
+
+
+def pack_new_clips(
+    spark: SparkSession, raw_path: str, out: str, languages: tuple[str, ...]
+) -> DataFrame:
+    """Add kept clips that are in no shard yet; full shards stay as they are. Returns and writes the counts of all.
 
     Clips whose recording is no longer in the raw folder are left out before shards are numbered, so shards stay
-    full, and are written to the `missing` folder. Counts come from the written shards, and a difference to what was
-    to be written is an error.
+    full, and are written to the `missing` folder. A shard count that differs from what was to be written is an error.
     """
     root = out.rstrip("/")
     kept = written(
         pack.manifest(in_languages(read_ledger(spark, f"{root}/{LEDGER_FOLDER}"), languages)), "kept"
     )
     audio = in_languages(clip_source.read_raw(spark, raw_path), languages)
-    place = ["src_file", "src_row", "language", "id"]
+    place = list(packing.PLACE)
     there = audio.select(*place)
     kept.join(there, place, "left_anti").select(*place).write.mode("overwrite").parquet(f"{root}/{MISSING_FOLDER}")
-    present = written(kept.join(there, place, "left_semi"), "present")
-    shards = tables.write_shards(tables.packed_rows(pack.assign_shards(present), audio), out)
-    counts = written(clean_counts(spark.read.parquet(shards).select("language")), "counts")
-    expected = {r.language: r.clips for r in clean_counts(present).collect()}
-    found = {r.language: r.clips for r in counts.collect()}
-    if found != expected:
-        raise RuntimeError(f"the shards hold {found} clips instead of {expected}")
+    packing.append_clips(kept.join(there, place, "left_semi"), audio, out)
+    language = [f for f in CLEAN_CLIP.fields if f.name == "language"]
+    counts = written(clean_counts(packing.read_shards(spark, out, language).select("language")), "counts")
     tables.write_stats(counts, f"{root}/{STATS_FOLDER}")
     return counts
 

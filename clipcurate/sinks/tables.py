@@ -17,14 +17,14 @@ from clipcurate.sources.ledger import bucket_of
 SHARD_FOLDER = "data/train"
 
 
-def packed_rows(sharded: DataFrame, audio: DataFrame) -> DataFrame:
+def packed_rows(sharded: DataFrame, audio: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
     """Packed clips with their real sampling rate; audio joins last, by its place in the source.
 
     A source position is unique, so a repeated id does not fill one task. Id and language have to match too: a ledger
     written for another folder then loses its clips instead of giving them other recordings. `audio` tables without
-    these two columns are joined by position alone.
+    these two columns are joined by position alone. `keys` names other columns to join by.
     """
-    place = [c for c in ("src_file", "src_row", "language", "id") if c in audio.columns]
+    place = list(keys or [c for c in ("src_file", "src_row", "language", "id") if c in audio.columns])
     rows = with_defaults(sharded).join(audio.select(*place, "audio"), place)
     return rows.select(
         "id",

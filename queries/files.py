@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clipcurate.functions.names import CSV_HEADER, wav_path
 from clipcurate.operators import pack
-from clipcurate.plans import jobs
+from clipcurate.plans import jobs, packing
 from clipcurate.session import scratch_path
 from clipcurate.sinks import tables, text, vocabulary, wav
 from clipcurate.sources import clips as clip_source
@@ -114,9 +114,24 @@ def _packed(spark, d):
     )
 
 
+def pack_append(spark, d):
+    """Clips of the ledger are packed first, all others are added to their shards by a second call."""
+    clips, out = views.delivered_clips(spark, d), scratch_path(spark, "packed")
+    audio = clips.select(
+        *packing.PLACE, F.struct(F.encode("text", "UTF-8").alias("bytes"), F.col("sampling_rate")).alias("audio")
+    )
+    kept = curation.kept_table(spark, d)
+    packing.append_clips(kept.join(views.ledger(spark, d), ["language", "id"], "left_semi"), audio, out)
+    packing.append_clips(kept, audio, out)
+    return _packed_columns(spark.read.parquet(f"{out}/{tables.SHARD_FOLDER}"))
+
+
 def packed(spark, d):
     """Kept clips as written shards, with the audio of the copy that was kept."""
-    rows = spark.read.parquet(_packed(spark, d))
+    return _packed_columns(spark.read.parquet(_packed(spark, d)))
+
+
+def _packed_columns(rows):
     return rows.select(
         "shard",
         "id",
@@ -208,6 +223,7 @@ QUERIES = {
     "q_shards": shards,
     "q_shard_sizes": shard_sizes,
     "q_pack": packed,
+    "q_pack_append": pack_append,
     "q_pack_partitioned": pack_partitioned,
     "q_clean_scan": clean_scan,
     "q_ledger_documents": ledger_documents,
@@ -279,6 +295,17 @@ ORACLE = {
         "kept",
         "delivered",
     ),
+    "q_pack_append": views.sql(
+        f"""select concat('shard_', lpad(cast(s as varchar), 5, '0')) as shard, id, language, text,
+                   speaker as speaker_id, cast(strlen(raw) as int) as n_bytes, 24000 as sampling_rate, duration_ms
+            from (select k.*, d.text as raw,
+                         (row_number() over (order by l.id is null, k.language, k.id) - 1) // 300 as s
+                  from kept k join delivered d using (src_file, src_row)
+                  left join (select distinct language, id from ledger) l on l.language = k.language and l.id = k.id)""",
+        "kept",
+        "delivered",
+        "ledger",
+    ),
     "q_pack_partitioned": views.sql(
         f"""select concat('shard_', lpad(cast(s as varchar), 5, '0')) as shard, id, language, clean_text as text, audio_md5
             from (select *, (row_number() over (order by language, id) - 1) // 300 as s
