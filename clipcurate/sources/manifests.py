@@ -9,23 +9,28 @@ from pyspark.sql import functions as F
 
 from clipcurate.functions.names import WAV_FOLDER, WAV_SUFFIX, path_stem
 from clipcurate.functions.text import strip_whitespace
+from clipcurate.sources.split_csv import read_split_csv
 
 # The audio file types that count as a reference voice; case matters.
 REFERENCE_GLOB = "*.{wav,mp3,flac}"
 
 
-def read_csv_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_manifest(spark: SparkSession, path: str, multi_line: bool = True, split: bool = False) -> DataFrame:
     """Columns are found by their header names; a manifest without durations gets nulls.
 
-    A quoted text may hold line breaks, which keeps a file from being split. Manifests written here hold
-    none and have many part files; pass `multi_line=False` to split one very large file.
+    A quoted text may hold line breaks, for which Spark's reader gives a file to one task. `split=True` reads a large
+    file by many tasks all the same, if its quotes follow RFC 4180. Manifests written here hold no line breaks and
+    have many part files; `multi_line=False` splits them without looking at quotes.
     """
-    rows = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    if split:
+        rows = read_split_csv(spark, path)
+    else:
+        rows = (
+            spark.read.option("header", True)
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .csv(path)
+        )
     seconds = F.col("duration_seconds") if "duration_seconds" in rows.columns else F.lit(None)
     return rows.select(
         "file_name", "transcription", seconds.cast("double").alias("duration_seconds")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clipcurate.functions.names import CSV_HEADER, wav_path
+from clipcurate.functions.names import CSV_HEADER, csv_line, wav_path
 from clipcurate.operators import pack
 from clipcurate.plans import jobs, packing
 from clipcurate.session import scratch_path
@@ -45,6 +45,15 @@ def manifest_convert(spark, d):
     return text.csv_to_pipe(manifests.read_csv_manifest(spark, path))
 
 
+def manifest_split(spark, d):
+    """Whole documents, line breaks and all, as texts of a CSV manifest that is read in splits."""
+    docs = views.table(spark, d, "documents").select(F.format_string("%012d", "doc_id").alias("id"), "text")
+    quoted = csv_line(wav_path(F.col("id")), F.coalesce("text", F.lit("")), F.octet_length("id").cast("long"))
+    path = scratch_path(spark, "manifest")
+    text.write_lines(docs.select("id", quoted.alias("line")), path, CSV_HEADER)
+    return manifests.read_csv_manifest(spark, path, split=True)
+
+
 def manifest_read(spark, d):
     """Pipe lines of every clip, with its text as it came, read back by their fields."""
     rows = views.clips(spark, d).select("id", wav_path(F.col("id")).alias("wav_path"), "text", "language")
@@ -215,6 +224,7 @@ QUERIES = {
     "q_manifest_pipe": manifest_pipe,
     "q_manifest_convert": manifest_convert,
     "q_manifest_read": manifest_read,
+    "q_manifest_split": manifest_split,
     "q_text_list": text_list,
     "q_wav_meta": wav_info,
     "q_wav_export": wav_export,
@@ -264,6 +274,9 @@ ORACLE = {
                   from clips)""",
         "clips",
     ),
+    "q_manifest_split": """select concat('wavs/', lpad(cast(doc_id as varchar), 12, '0'), '.wav') as file_name,
+            coalesce(text, '') as transcription, cast(0.012 as double) as duration_seconds
+        from documents""",
     "q_text_list": """select text, count(*) as n
         from (select trim(unnest(string_split(text, chr(10)))) as text from documents)
         where text <> '' group by 1""",
