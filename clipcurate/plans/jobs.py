@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -25,6 +26,7 @@ from clipcurate.schemas import CLEAN_CLIP
 from clipcurate.session import written
 from clipcurate.sinks import tables
 from clipcurate.sinks.text import write_manifests
+from clipcurate.sinks.wav import export_wavs, wav_folder
 from clipcurate.sources import clips as clip_source
 from clipcurate.sources import manifests
 from clipcurate.sources.ledger import read_ledger
@@ -37,6 +39,7 @@ STATS_FOLDER = "stats"
 LOG_FOLDER = "generation_log"
 MISSING_FOLDER = "missing"
 PROGRESS_FOLDER = "progress"
+ERRORS_FOLDER = "wav_errors"
 
 
 def clip_index(raw: DataFrame) -> DataFrame:
@@ -88,19 +91,52 @@ def curate_language(
     config: CurationConfig = CurationConfig(),
     make_diarizer: Callable[[], Diarizer] | None = None,
     clean_path: str | None = None,
+    export: bool = False,
 ) -> DataFrame:
     """Curate one language into a ledger and four manifests; returns its kept clips.
 
     With a clean result for this language at `clean_path` only its manifests are written. Without a
-    diarizer every clip passes the speaker test. Running again continues from the ledger.
+    diarizer every clip passes the speaker test. Running again continues from the ledger. `export` also writes
+    the WAV files, and the manifests then name no file that is not there.
     """
     if clean_path and clip_source.clean_exists(spark, clean_path, language):
-        kept = written(
-            clean_manifest(clip_source.read_clean(spark, clean_path, language)), "manifest"
-        )
+        clean = clip_source.read_clean(spark, clean_path, language)
+        kept = written(clean_manifest(clean), "manifest")
+        if export:
+            kept = _exported(kept, clean.select("id", "language", "audio"), out, language)
         write_manifests(kept, out, language)
         return kept
-    return curate_raw(spark, raw_path, out, language, config, make_diarizer).kept
+    return curate_raw(spark, raw_path, out, language, config, make_diarizer, export).kept
+
+
+def _exported(kept: DataFrame, audio: DataFrame, out: str, language: str) -> DataFrame:
+    """Write WAV files; the rows of `kept` whose file is there. What could not be written goes to `wav_errors`."""
+    done = written(export_wavs(audio, out, language), "exported")
+    folder = f"{out.rstrip('/')}/{language}"
+    done.where(F.col("status") != "written").write.mode("overwrite").parquet(f"{folder}/{ERRORS_FOLDER}")
+    return written(pack.with_wav_present(kept, _wavs(kept.sparkSession, out, language)), "exported")
+
+
+def _wavs(spark: SparkSession, out: str, language: str) -> DataFrame:
+    folder = wav_folder(out, language)
+    os.makedirs(folder, exist_ok=True)
+    return manifests.list_wavs(spark, folder)
+
+
+def export_language(spark: SparkSession, raw_path: str, out: str, language: str) -> DataFrame:
+    """Write the WAV files of kept clips that are not there yet; returns the kept clips that have a file.
+
+    Audio is read for these clips alone and not shuffled, unless their places are too many to be sent to executors.
+    """
+    ledger = read_ledger(spark, f"{out.rstrip('/')}/{LEDGER_FOLDER}")
+    kept = written(pack.manifest(in_languages(ledger, (language,))), "kept")
+    todo = kept.join(_wavs(spark, out, language).select("wav_path"), "wav_path", "left_anti")
+    todo = written(todo.select(*packing.PLACE), "to-export")
+    clips = clip_source.read_raw(spark, raw_path).where(F.col("language") == language)
+    audio = packing.at_places(clips.select(*packing.PLACE, "audio"), todo)
+    if audio is None:
+        audio = clips.join(todo, list(packing.PLACE), "left_semi")
+    return _exported(kept, audio, out, language)
 
 
 def curate_raw(
@@ -110,11 +146,13 @@ def curate_raw(
     language: str,
     config: CurationConfig = CurationConfig(),
     make_diarizer: Callable[[], Diarizer] | None = None,
+    export: bool = False,
 ) -> CurationResult:
     """Curate one language; a run that was cut off goes on where it stopped.
 
     Clips are folded, held against the ledger and tested by their text without their audio. Audio is read for what is
-    left, from the files that hold it: once for the headers and once, unit by unit, for the diarizer.
+    left, from the files that hold it: once for the headers and once, unit by unit, for the diarizer. With `export`
+    it is read once more for files that are not written yet, and clips without a file are not in the result.
     """
     curator = Curator(replace(config, languages=(language,)))
     raw = clip_source.read_raw(spark, raw_path)
@@ -134,6 +172,8 @@ def curate_raw(
         progress = f"{out.rstrip('/')}/{PROGRESS_FOLDER}/{language}"
         diarization = written(diarize_in_units(audio, wanted, make_diarizer, progress), "diarization")
     result = curator.run_and_record(narrow, ledger_path, diarization, scanned=raw, measured=measured)
+    if export:
+        result = replace(result, kept=export_language(spark, raw_path, out, language))
     write_manifests(result.kept, out, language)
     return result
 

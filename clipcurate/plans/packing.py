@@ -133,6 +133,20 @@ def _place_words(rows: DataFrame) -> DataFrame:
     )
 
 
+def at_places(audio: DataFrame, rows: DataFrame) -> DataFrame | None:
+    """The rows of `audio` at the places of `rows`, found without a shuffle of audio; None if the places are too many."""
+    places = written(_place_words(rows), "places")
+    # A word and its number take 16 bytes; a row has the file's name and what the hash table adds to it.
+    size = F.sum(F.octet_length("src_file") + 16 * F.size("_words") + 100)
+    if (places.agg(size.alias("b")).first()["b"] or 0) > PLACE_BYTES_TO_BROADCAST:
+        return None
+    block = F.expr(f"src_row div {_WORD * _WORDS}")
+    word = F.try_element_at("_words", F.expr(f"src_row div {_WORD}"))
+    bit = F.call_function("shiftrightunsigned", word, (F.col("src_row") % _WORD).cast("int")).bitwiseAND(F.lit(1))
+    found = audio.withColumn("_block", block).join(F.broadcast(places), ["src_file", "_block"]).where(bit == 1)
+    return found.select(*audio.columns)
+
+
 def wanted_audio(audio: DataFrame, numbered: DataFrame) -> DataFrame | None:
     """The audio of numbered clips with its `shard_id`, found without a shuffle of audio.
 
@@ -140,23 +154,11 @@ def wanted_audio(audio: DataFrame, numbered: DataFrame) -> DataFrame | None:
     """
     limits = written(shard_limits(numbered), "limits")
     count = limits.count()
-    if count > LIMITS_TO_BROADCAST:
-        return None
-    places = written(_place_words(numbered), "places")
-    # A word and its number take 16 bytes; a row has the file's name and what the hash table adds to it.
-    size = F.sum(F.octet_length("src_file") + 16 * F.size("_words") + 100)
-    if (places.agg(size.alias("b")).first()["b"] or 0) > PLACE_BYTES_TO_BROADCAST:
+    found = None if count > LIMITS_TO_BROADCAST else at_places(audio.select(*PLACE, "audio"), numbered)
+    if found is None:
         return None
-    block = F.expr(f"src_row div {_WORD * _WORDS}")
-    word = F.try_element_at("_words", F.expr(f"src_row div {_WORD}"))
-    bit = F.call_function("shiftrightunsigned", word, (F.col("src_row") % _WORD).cast("int")).bitwiseAND(F.lit(1))
-    return (
-        audio.select(*PLACE, "audio", block.alias("_block"))
-        .join(F.broadcast(places), ["src_file", "_block"])
-        .where(bit == 1)
-        .join(F.broadcast(_limit_lists(limits, count)), "language")
-        .select(*PLACE, "audio", _shard_of(F.col("id")).alias("shard_id"))
-    )
+    lists = F.broadcast(_limit_lists(limits, count))
+    return found.join(lists, "language").select(*PLACE, "audio", _shard_of(F.col("id")).alias("shard_id"))
 
 
 @contextmanager

@@ -14,7 +14,8 @@ from clipcurate.schemas import WAV_INFO
 HEAD_BYTES = 4096
 
 # Format tags of linear PCM, IEEE float and the extensible header.
-_SAMPLE_FORMATS = (1, 3, 0xFFFE)
+PCM, IEEE_FLOAT, _EXTENSIBLE = 1, 3, 0xFFFE
+_SAMPLE_FORMATS = (PCM, IEEE_FLOAT, _EXTENSIBLE)
 _NEEDS_MORE = "needs more bytes"
 
 
@@ -43,6 +44,23 @@ def wav_info(head: bytes | None, size: int) -> tuple:
     return None, None, None, None, "no audio data"
 
 
+def wav_samples(data: bytes) -> tuple[int, int, int, bytes]:
+    """`(format tag, channels, bits, samples)` of a whole file that `wav_info` finds no error in.
+
+    An extensible header names the true format in its extension; the samples end with the last whole frame.
+    """
+    at, tag, channels, bits, frame = 12, 0, 0, 0, 0
+    while data[at : at + 4] != b"data":
+        length = struct.unpack_from("<I", data, at + 4)[0]
+        if data[at : at + 4] == b"fmt ":
+            tag, channels, _, _, frame, bits = struct.unpack_from("<HHIIHH", data, at + 8)
+            if tag == _EXTENSIBLE and length >= 26:
+                tag = struct.unpack_from("<H", data, at + 32)[0]
+        at += 8 + length + length % 2
+    end = min(at + 8 + struct.unpack_from("<I", data, at + 4)[0], len(data))
+    return tag, channels, bits, data[at + 8 : end - (end - at - 8) % frame]
+
+
 @F.pandas_udf(WAV_INFO)
 def _wav_info(head: pd.Series, size: pd.Series) -> pd.DataFrame:
     rows = [wav_info(h, 0 if pd.isna(s) else int(s)) for h, s in zip(head, size)]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clipcurate.config import CurationConfig
 from clipcurate.plans import generate as generation
-from clipcurate.plans import jobs
+from clipcurate.plans import jobs, packing
 from clipcurate.plans.curate import Curator
 from clipcurate.plans.hooks import generate
 from clipcurate.schemas import RAW_CLIP
@@ -225,3 +225,33 @@ def test_a_model_is_spread_over_tasks(spark):
     plan = generation.generation_plan(texts, voices, generation.presets(spark), "n")
     log = generate(plan, lambda: lambda *_: (100, 100), tasks=8)
     assert log.withColumn("p", F.spark_partition_id()).select("p").distinct().count() > 4
+
+
+@pytest.mark.parametrize("sent", [True, False])
+def test_every_path_of_a_manifest_exists(spark, raw, tmp_path, monkeypatch, sent):
+    if not sent:
+        monkeypatch.setattr(packing, "PLACE_BYTES_TO_BROADCAST", 0)
+    out = str(tmp_path / "out")
+    kept = jobs.curate_language(spark, raw, out, "gu", export=True)
+    listed = [line.split()[1] for p in sorted(Path(out, "gu", "wav.scp").glob("part-*")) for line in p.read_text().splitlines()]
+    assert len(listed) == kept.count() == 12 and all(Path(path).is_file() for path in listed)
+    assert len(list(Path(out, "gu", "wavs").iterdir())) == 12
+    assert Path(out, "gu", "wavs", "g3.wav").read_bytes() == wav(3, 3)
+    # A file that was lost comes back, the others are not written again.
+    times = {p.name: p.stat().st_mtime_ns for p in Path(out, "gu", "wavs").iterdir()}
+    Path(out, "gu", "wavs", "g3.wav").unlink()
+    assert jobs.export_language(spark, raw, out, "gu").count() == 12
+    again = {p.name: p.stat().st_mtime_ns for p in Path(out, "gu", "wavs").iterdir()}
+    assert {n for n in again if again[n] != times[n]} == {"g3.wav"}
+
+
+def test_a_clip_that_cannot_be_a_file_is_in_no_manifest(spark, tmp_path):
+    rows = [("a/b", (wav(3, 1), 100), "x" * 30, "gu"), ("c", (wav(3, 2), 100), "x" * 30, "gu")]
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    spark.createDataFrame(rows, RAW_CLIP).write.parquet(raw)
+    assert [r.id for r in jobs.curate_language(spark, raw, out, "gu", export=True).collect()] == ["c"]
+    assert [tuple(r) for r in spark.read.parquet(f"{out}/gu/wav_errors").select("id", "status").collect()] == [("a/b", "bad id")]
+    jobs.pack_languages(spark, raw, out, ("gu",))
+    clean = jobs.curate_language(spark, raw, str(tmp_path / "fast"), "gu", clean_path=f"{out}/data/train", export=True)
+    assert [r.id for r in clean.collect()] == ["c"]
+    assert Path(tmp_path, "fast", "gu", "wavs", "c.wav").read_bytes() == wav(3, 2)

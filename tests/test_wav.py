@@ -5,7 +5,7 @@ import wave
 import pytest
 
 from clipcurate.schemas import AUDIO
-from clipcurate.sinks.wav import export_wavs
+from clipcurate.sinks.wav import as_16_bit, export_wavs
 from clipcurate.sources.wav import HEAD_BYTES, wav_info, with_wav_info
 
 
@@ -67,8 +67,8 @@ def test_export(spark, tmp_path):
     df = spark.createDataFrame(rows, f"id string, language string, audio {AUDIO.simpleString()}")
     for _ in range(2):
         done = {r.id: r.status for r in export_wavs(df, str(tmp_path), "gu").collect()}
-    assert done == {"a": "written", "b": "not 16-bit", "../c": "bad id", "d": "not a WAV file"}
-    assert [p.name for p in (tmp_path / "gu" / "wavs").iterdir()] == ["a.wav"]
+    assert done == {"a": "written", "b": "written", "../c": "bad id", "d": "not a WAV file"}
+    assert sorted(p.name for p in (tmp_path / "gu" / "wavs").iterdir()) == ["a.wav", "b.wav"]
     assert (tmp_path / "gu" / "wavs" / "a.wav").read_bytes() == wav()
 
 
@@ -83,3 +83,38 @@ def test_duration_uses_the_rate_column(spark, rate):
     )
     clips = with_wav_info(df).withColumn("sampling_rate", F.col("audio.sampling_rate"))
     assert with_measures(clips).first().duration == rate / 24000
+
+
+def riff(tag, bits, samples, channels=1, rate=8000, extension=b""):
+    frame = channels * bits // 8
+    fmt = struct.pack("<HHIIHH", tag, channels, rate, rate * frame, frame, bits) + extension
+    chunks = b"fmt " + struct.pack("<I", len(fmt)) + fmt + b"data" + struct.pack("<I", len(samples)) + samples
+    return b"RIFF" + struct.pack("<I", 4 + len(chunks)) + b"WAVE" + chunks
+
+
+# Tag, bits, samples and what they are at 16 bits.
+SAMPLES = {
+    "8": (1, 8, bytes([0, 128, 255]), [-32768, 0, 32512]),
+    "24": (1, 24, b"\x00\x00\x80" b"\x80\x01\x00" b"\xff\xff\x7f", [-32768, 2, 32767]),
+    "32": (1, 32, struct.pack("<3i", -(1 << 31), 98304, (1 << 31) - 1), [-32768, 2, 32767]),
+    "float": (3, 32, struct.pack("<5f", -1.0, 0.5, 1.0, 9e37, float("nan")), [-32768, 16384, 32767, 32767, 0]),
+    "double": (3, 64, struct.pack("<2d", -0.25, float("inf")), [-8192, 32767]),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SAMPLES))
+def test_other_samples_become_16_bit(name):
+    tag, bits, samples, want = SAMPLES[name]
+    extension = struct.pack("<HHIH", 22, bits, 0, tag) + b"\0" * 14
+    for data in (riff(tag, bits, samples), riff(0xFFFE, bits, samples, extension=extension)):
+        with wave.open(io.BytesIO(as_16_bit(data, None))) as w:
+            assert (w.getsampwidth(), w.getframerate(), w.getnchannels()) == (2, 8000, 1)
+            assert list(struct.unpack(f"<{len(want)}h", w.readframes(99))) == want
+
+
+def test_the_rate_of_the_clip_counts():
+    data = wav(frames=5, channels=2, rate=8000)
+    assert as_16_bit(data, 8000) is data
+    with wave.open(io.BytesIO(as_16_bit(data, 24000))) as w:
+        assert (w.getframerate(), w.getnchannels(), w.readframes(9)) == (24000, 2, b"\x01" * 20)
+    assert as_16_bit(riff(1, 12, b"\0" * 6), 8000) is None
