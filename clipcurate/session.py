@@ -76,9 +76,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def delete_folder(spark: SparkSession, name: str) -> None:
+def _hadoop(spark: SparkSession, name: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, name: str) -> None:
+    path, system = _hadoop(spark, name)
+    system.delete(path, True)
+
+
+def folder_exists(spark: SparkSession, name: str) -> bool:
+    path, system = _hadoop(spark, name)
+    return system.exists(path)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a complete folder in the place of another one, which is deleted."""
+    (old, system), (new, _) = _hadoop(spark, target), _hadoop(spark, source)
+    system.delete(old, True)
+    if not system.rename(new, old):
+        raise OSError(f"{source} could not be moved to {target}")
 
 
 def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:

@@ -42,6 +42,47 @@ def test_manifest_bytes(kept, tmp_path):
     assert lines(paths["utt2spk"]) == [f"id{i} spk_hf_gu" for i in range(4)]
 
 
+def test_manifests_come_from_one_sort_and_as_before(make_clips, tmp_path):
+    clips = make_clips(*[(f"id{i:04d}", "gu", f"text {i} " + "x" * 20, 2.5) for i in range(3000)])
+    kept = Curator().run(clips).kept
+    plan = text._ranged(kept.select("id", F.struct(*[F.col("text").alias(n) for n in text.MANIFESTS]).alias("lines")))
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("rangepartitioning") == 1
+    spark = kept.sparkSession
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        paths = text.write_manifests(kept, str(tmp_path), "gu")
+        text.write_lines(text.csv_lines(kept), str(tmp_path / "csv"), text.names.CSV_HEADER)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for writer, file in ((text.text_lines, "text"), (text.speaker_lines, "utt2spk")):
+        text.write_lines(writer(kept), str(tmp_path / file))
+        assert lines(paths[file]) == lines(tmp_path / file) and len(lines(paths[file])) == 3000
+    header = text.names.CSV_HEADER
+    parts = sorted(Path(paths["metadata.csv"]).glob("part-*"))
+    assert len(parts) > 1 and all(p.read_text().splitlines()[0] == header for p in parts)
+    body = lambda folder: [x for x in lines(folder) if x != header]
+    assert body(paths["metadata.csv"]) == body(tmp_path / "csv")
+    assert sorted(p.name for p in (tmp_path / "gu").iterdir()) == ["metadata.csv", "text", "utt2spk", "wav.scp"]
+
+
+def test_a_failed_write_leaves_the_older_manifests(kept, tmp_path):
+    paths = text.write_manifests(kept, str(tmp_path), "gu")
+    before = {p: lines(p) for p in paths.values()}
+    broken = kept.withColumn("text", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        text.write_manifests(broken, str(tmp_path), "gu")
+    assert {p: lines(p) for p in paths.values()} == before and len(list((tmp_path / "gu").iterdir())) == 4
+
+
+def test_manifests_without_clips(kept, spark, tmp_path):
+    paths = text.write_manifests(kept, str(tmp_path), "hi")
+    assert {Path(p).name: lines(p) for p in paths.values()} == {
+        "metadata.csv": [text.names.CSV_HEADER], "wav.scp": [], "text": [], "utt2spk": [],
+    }
+    assert manifests.read_csv_manifest(spark, paths["metadata.csv"]).count() == 0
+
+
 def test_every_part_file_has_the_header(make_clips, tmp_path):
     clips = make_clips(*[(f"id{i:04d}", "gu", "x" * 30, 2.5) for i in range(400)])
     rows = text.csv_lines(Curator().run(clips).kept)
