@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clipcurate.functions import arrays, text
-from clipcurate.operators import samples, vectors, vocab
+from clipcurate.operators import batches, samples, tokens, vectors, vocab
+from clipcurate.operators.batches import BAND_WIDTH
+from clipcurate.operators.ordering import number_rows
 from clipcurate.plans.vocabulary import grow_vocabulary
 from queries import views
 
@@ -17,6 +19,8 @@ UNKNOWN_ID = -1
 MAX_TEXT = 256
 MAX_SPEECH = 850
 EPOCH = 3
+WORD_IDS = 100_000
+BATCH_TOKENS = 2_000
 
 
 def _documents(spark, d):
@@ -55,6 +59,33 @@ def char_encode(spark, d):
     return views.clips(spark, d).select("id", F.array_join(ids, ",").alias("token_ids"))
 
 
+def _word_vocab(spark, d):
+    """The characters of the benchmark and, from WORD_IDS on, its words of several characters."""
+    words = views.table(spark, d, "benchmark").select(F.explode(F.split("text", " ")).alias("token"))
+    words = number_rows(words.where(F.length("token") > 1).distinct(), "token", name="n")
+    ids = (F.col("n") + WORD_IDS).cast("int").alias("token_id")
+    return views.base_vocab(spark, d).unionByName(words.select("token", ids))
+
+
+def token_encode(spark, d):
+    rows = tokens.encode_tokens(views.clips(spark, d), _word_vocab(spark, d), UNKNOWN_ID, clusters=False)
+    return rows.select("id", F.array_join("token_ids", ",").alias("token_ids"))
+
+
+def _lengths(spark, d):
+    length = F.size("text_tokens") + F.size("speech_tokens")
+    kept = samples.limit_lengths(_with_text_tokens(spark, d), MAX_TEXT, MAX_SPEECH)
+    return kept.select("id", length.alias("length"))
+
+
+def batch_plan(spark, d):
+    return batches.batch_plan(_lengths(spark, d), BATCH_TOKENS)
+
+
+def batch_summary(spark, d):
+    return batches.batch_summary(batch_plan(spark, d))
+
+
 def _joined(name):
     return F.array_join(name, ",").alias(name)
 
@@ -140,6 +171,9 @@ QUERIES = {
     "q_vocab_extend": vocab_extend,
     "q_vocab_stats": vocab_stats,
     "q_char_encode": char_encode,
+    "q_token_encode": token_encode,
+    "q_batch_plan": batch_plan,
+    "q_batch_summary": batch_summary,
     "q_prompt_slice": prompt_slice,
     "q_label_mask": label_mask,
     "q_append_stop": append_stop,
@@ -165,7 +199,52 @@ _ELEMENTS = """(select vec_id, label, unnest(embedding) as x,
 _MEAN = "round(avg(cast(x as double)), 9)"
 _DROPPED = f"""cast(concat('0x', substring(md5(concat(id, '#', '{EPOCH}')), 1, 8)) as bigint) % 100 < 20"""
 
+# No token but the space has a space in it, so distinct words are walked through, from longest token to longest token.
+_ENCODED = f"""select * from (
+    with recursive word_vocab as (
+        select token, token_id from base_vocab
+        union all
+        select token, cast({WORD_IDS} + row_number() over (order by token) as int)
+        from (select distinct unnest(string_split(text, ' ')) as token from benchmark) where len(token) > 1),
+    words as (select distinct unnest(string_split(text, ' ')) as word from clips),
+    places as (select word, unnest(range(1, len(word) + 1)) as pos from words),
+    pieces as (select word, pos, substring(word, pos, size) as token
+               from (select word, pos, unnest(range(1, len(word) - pos + 2)) as size from places)),
+    best as (select word, pos, max_by(token_id, len(token)) as token_id, max(len(token)) as size
+             from pieces join word_vocab using (token) group by word, pos),
+    steps as (select p.word, p.pos, coalesce(b.token_id, {UNKNOWN_ID}) as token_id, p.pos + coalesce(size, 1) as nxt
+              from places p left join best b on b.word = p.word and b.pos = p.pos),
+    walk as (
+        select word, pos, token_id, nxt from steps where pos = 1
+        union all
+        select s.word, s.pos, s.token_id, s.nxt from walk w join steps s on s.word = w.word and s.pos = w.nxt),
+    encoded as (select word, string_agg(token_id, ',' order by pos) as ids from walk group by 1),
+    spaces as (select coalesce(max(token_id), {UNKNOWN_ID}) as space from base_vocab where token = ' '),
+    parts as (select id, n, concat_ws(',', case when n > 0 then space end, ids) as part
+              from (select id, unnest(string_split(text, ' ')) as word,
+                           unnest(range(0, len(string_split(text, ' ')))) as n from clips) c
+              left join encoded using (word), spaces)
+    select id, coalesce(string_agg(nullif(part, ''), ',' order by n), '') as token_ids from parts group by 1)"""
+_BATCHES = f"""(
+    select id, length, batch_no, count(*) over b as batch_rows, max(length) over b as batch_length,
+           case when max(length) over b = 0 then 0.0
+                else cast(max(length) over b - length as double) / max(length) over b end as padding_share
+    from (select *, cast(sum(case when pos % capacity = 0 then 1 else 0 end) over (order by length, id) as bigint) - 1 as batch_no
+          from (select *, greatest({BATCH_TOKENS} // ((band + 1) * {BAND_WIDTH}), 1) as capacity,
+                       row_number() over (partition by band order by length, id) - 1 as pos
+                from (select id, 2 * len(text) as length, (greatest(2 * len(text), 1) - 1) // {BAND_WIDTH} as band
+                      from clips where len(text) <= {MAX_TEXT} and len(text) <= {MAX_SPEECH})))
+    window b as (partition by batch_no))"""
+
 ORACLE = {
+    "q_token_encode": views.sql(_ENCODED, "clips", "base_vocab"),
+    "q_batch_plan": views.sql(f"select * from {_BATCHES}", "clips"),
+    "q_batch_summary": views.sql(
+        f"""select samples, batches, tokens, padded_tokens, (batches + 7) // 8 as steps, (batches + 7) // 8 * 10 as run_steps
+            from (select count(*) as samples, max(batch_no) + 1 as batches, cast(sum(length) as bigint) as tokens,
+                         cast(sum(batch_length) as bigint) as padded_tokens from {_BATCHES})""",
+        "clips",
+    ),
     "q_char_inventory": views.sql("select token, n from corpus_chars", "corpus_chars"),
     "q_distinct_chars": views.sql("select token from corpus_chars", "corpus_chars"),
     "q_script_chars": views.sql(
