@@ -120,6 +120,6 @@ class Curator:
         seen = take_first(verdict.in_languages(clips, self.config.languages), self.config.max_samples, *SOURCE_ORDER)
         record_copies(seen, ledger_path, key)
         rows = verdict.in_languages(read_ledger(spark, ledger_path), self.config.languages)
-        by_language = verdict.in_languages(funnel_of_counts(read_counts(spark, ledger_path)), self.config.languages)
+        by_language = verdict.in_languages(funnel_of_counts(read_counts(spark, ledger_path, own=key)), self.config.languages)
         counts = total_funnel(clips if scanned is None else scanned, by_language)
         return CurationResult(rows, pack.manifest(rows), counts)

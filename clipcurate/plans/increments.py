@@ -52,22 +52,25 @@ def record_copies(
     found.write.mode("overwrite").parquet(ledger_part(beside(ledger_path, DUPLICATES_SUFFIX), key))
 
 
-def read_counts(spark: SparkSession, ledger_path: str) -> DataFrame:
+def read_counts(spark: SparkSession, ledger_path: str, own: str | None = None) -> DataFrame:
     """(language, verdict, clips, duration_ms) of all that is recorded, after counting what is not counted yet.
 
     Each run's and micro-batch's part is counted once, when it is first asked for; later calls add up these few rows.
+    Runs side by side may count the same part, or one that is still growing: every call writes a folder of its own, a
+    run counts its `own` part at its end in any case, and the largest count of a part is the one that holds.
     """
     path = beside(ledger_path, COUNTS_SUFFIX)
     counted = read_or_empty(spark, path, COUNTS)
-    known = {r[0] for r in counted.select(RUN_KEY).distinct().collect()}
+    known = {r[0] for r in counted.select(RUN_KEY).distinct().collect()} - {own}
     rows = stored_ledger(spark, ledger_path).where(~F.startswith(RUN_KEY, F.lit(GENERATION)))
     rows = rows.select(RUN_KEY, "language", "verdict", "duration_ms")
     copies = read_or_empty(spark, beside(ledger_path, DUPLICATES_SUFFIX), f"language string, {RUN_KEY} string")
     both = rows.union(copies.select(RUN_KEY, "language", F.lit(DUPLICATE), F.lit(None).cast("long")))
     new = both.where(~F.col(RUN_KEY).isin(*known)).groupBy(RUN_KEY, "language", "verdict")
     new = new.agg(F.count(F.lit(1)).alias("clips"), F.coalesce(F.sum("duration_ms"), F.lit(0)).alias("duration_ms"))
-    new.coalesce(1).write.mode("append").parquet(path)
-    counts = spark.read.schema(COUNTS).parquet(path)
+    new.coalesce(1).write.parquet(f"{path}/part={uuid.uuid4().hex}")
+    parts = spark.read.schema(COUNTS).parquet(path).groupBy(RUN_KEY, "language", "verdict")
+    counts = parts.agg(F.max("clips").alias("clips"), F.max("duration_ms").alias("duration_ms"))
     return counts.groupBy("language", "verdict").agg(F.sum("clips").alias("clips"), F.sum("duration_ms").alias("duration_ms"))
 
 
