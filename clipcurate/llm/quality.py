@@ -1,40 +1,28 @@
-"""Quality classifier: supervised word and character n-gram vectors, averaged per document, under a softmax."""
+"""Quality classifier: supervised vectors of words, word pairs and character n-grams, averaged, under a softmax."""
 
 from __future__ import annotations
 
-from collections import Counter
-from itertools import pairwise
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from clipcurate.llm.common import labelled_sample, map_rows, texts_of
 from clipcurate.llm.subword import Model, Space, WordRows, document_sums, train
 
-SPACE = Space(low=2, high=4, buckets=1 << 17)
+SPACE = Space(low=2, high=4, buckets=1 << 17, pair_weight=4.0)
 #: Bound of the training sample: rows of each label, and characters of a row.
 SAMPLE_ROWS = 1_500
 SAMPLE_CHARS = 20_000
 
-# Word n-grams of two: the pair of shapes, which tells running text from tables and noise, and a word that repeats
-# the one before it, whichever it is.
-_REPEAT = "\x01again\x01"
-_NEW_LINE = "\x01line\x01"
-
 
 def terms_of(text: str) -> list[str]:
-    """Words as written, with their punctuation, and a mark for each word equal to the one before it."""
-    words = text.split()
-    repeats = sum(a == b for a, b in pairwise(words))
-    lines = text.split("\n")
-    again = len(lines) - len(set(lines))
-    return words + [_REPEAT] * repeats + [_NEW_LINE] * again
+    """Words as written, with their punctuation and in their order."""
+    return text.split()
 
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_chars: int = SAMPLE_CHARS) -> Model:
     """Learn `labels.quality` from rows outside the held-out fold, up to `rows` of each label value."""
     sample = labelled_sample(documents, labels, "quality", rows, max_chars)
-    examples = [(Counter(w.encode() for w in terms_of(text)), int(label)) for text, label in sample]
+    examples = [([w.encode() for w in terms_of(text)], int(label)) for text, label in sample]
     return train(examples, SPACE, epochs=8)
 
 

@@ -32,20 +32,37 @@ def ngram_buckets(words: list[bytes], low: int, high: int, buckets: int):
         rolling = rolling[:-1] * _STEP + data[n - 1 :] if len(rolling) > 1 else rolling[:0]
         if n >= low and len(rolling):
             grams.append((_bucket(rolling + np.uint64(n), buckets), left[: len(rolling)] >= n))
-    whole = _bucket(np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) + np.uint64(1 << 40), buckets)
+    whole = _bucket(word_hashes(words) + np.uint64(1 << 40), buckets)
     return starts, lengths, grams, whole
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+
+
 @dataclass
 class Space:
-    """How words become buckets: byte n-grams of `low` to `high` with word marks, and the word itself."""
+    """How words become buckets: byte n-grams of `low` to `high` with word marks, and the word itself.
+
+    With `pair_weight`, two neighbouring words are a bucket too, which counts as so many of the others.
+    """
 
     low: int
     high: int
     buckets: int
+    pair_weight: float = 0.0
 
-    def features(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct buckets of the words and their shares, which add up to 1."""
+    def pairs(self, hashes: np.ndarray) -> np.ndarray:
+        """Buckets of neighbouring words, given the hashes of a document's words in their order.
+
+        A pair is hashed by the difference of its words' hashes, so its order counts, and a word that follows itself
+        is the same pair whichever word it is: repetition is learnt once and not word by word.
+        """
+        return _bucket(hashes[1:] - hashes[:-1] + np.uint64(1 << 41), self.buckets)
+
+    def features(self, found_words: Counter | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct buckets of the words and their shares, which add up to 1. For pairs, the words in their order."""
+        counts = Counter(found_words)
         words = list(counts)
         if not words:
             return np.zeros(0, np.int64), np.zeros(0, np.float32)
@@ -56,6 +73,9 @@ class Space:
         for bucket, valid in grams:
             ids.append(bucket[valid])
             weights.append(number[of[: len(bucket)][valid]])
+        if self.pair_weight:
+            ids.append(self.pairs(word_hashes(found_words)))
+            weights.append(np.full(len(ids[-1]), self.pair_weight))
         found, at = np.unique(np.concatenate(ids), return_inverse=True)
         total = np.bincount(at, np.concatenate(weights))
         return found, (total / total.sum()).astype(np.float32)
@@ -85,11 +105,20 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.0
+    """Least lead, as `leads` gives it, of an answer that is not rejected."""
 
-    def probabilities(self, sums: np.ndarray) -> np.ndarray:
+    def scores(self, sums: np.ndarray) -> np.ndarray:
         """From per-document sums as `Space.sums` gives them. A document without words gets the bias alone."""
-        scores = sums[:, :-1] / np.maximum(sums[:, -1:], 1) + self.bias
-        return softmax(scores / self.temperature)
+        return sums[:, :-1] / np.maximum(sums[:, -1:], 1) + self.bias
+
+    def probabilities(self, sums: np.ndarray) -> np.ndarray:
+        return softmax(self.scores(sums) / self.temperature)
+
+
+def leads(scores: np.ndarray) -> np.ndarray:
+    """By how much the highest of two or more scores exceeds the next: the log-odds of the answer before scaling."""
+    ordered = np.sort(scores, axis=-1)
+    return ordered[..., -1] - ordered[..., -2]
 
 
 def softmax(scores: np.ndarray) -> np.ndarray:
@@ -97,6 +126,10 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+#: Share of the right answers among the rows kept apart that are not rejected.
+KEEP = 0.995
+
+
 def train(
     examples: list[tuple[Counter, object]],
     space: Space,
@@ -109,7 +142,9 @@ def train(
     """Fit embeddings and softmax by stochastic gradient descent, one document at a time.
 
     Every class has the same total weight. Steps are scaled per parameter by the root of their summed squares.
-    The last `calibration` share of the shuffled examples is kept apart to choose the temperature.
+    The first `calibration` share of the shuffled examples is kept apart to choose the temperature and the limit of
+    rejection, which `KEEP` of the right answers among them reach. With fewer than `1 / calibration` examples none is
+    kept apart; the temperature is then 1, and nothing is rejected.
     """
     classes = sorted({label for _, label in examples}, key=str)
     if len(classes) < 2:
@@ -117,7 +152,7 @@ def train(
         return Model(space, classes, np.zeros((space.buckets, size), np.float32), np.zeros(size, np.float32))
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(examples))
-    apart = order[: int(len(order) * calibration)] if len(order) >= 50 else order[:0]
+    apart = order[: int(len(order) * calibration)]
     fitted = order[len(apart) :]
     features = [space.features(counts) for counts, _ in examples]
     target = np.array([classes.index(label) for _, label in examples])
@@ -153,11 +188,9 @@ def train(
             for t in (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0, 5.6, 8.0)
         }
         model.temperature = min(losses, key=losses.get)
-        best = softmax(scores / model.temperature)
-        right = np.sort(best.max(axis=1)[best.argmax(axis=1) == truth])
+        right = np.sort(leads(scores)[scores.argmax(axis=1) == truth])
         if len(right):
-            # All but one in a thousand of the right answers stay above it; it never asks for a majority.
-            model.reject_below = float(min(0.5, right[int(0.001 * len(right))] * 0.9))
+            model.reject_below = float(right[int((1 - KEEP) * len(right))])
     return model
 
 
@@ -172,6 +205,7 @@ class WordRows(dict):
         super().__init__()
         self.model, self.most = model, most
         self.rows = np.zeros((1024, len(model.bias) + 1), np.float32)
+        self.hashes = np.zeros(1024, np.uint64)
         self.known, self.pending = 0, []
 
     def __missing__(self, word):
@@ -188,10 +222,12 @@ class WordRows(dict):
             grown = np.zeros((2 * need, self.rows.shape[1]), np.float32)
             grown[: self.known] = self.rows[: self.known]
             self.rows = grown
+            self.hashes = np.resize(self.hashes, len(grown))
         for start in range(0, len(self.pending), WORDS_AT_ONCE):
             part = self.pending[start : start + WORDS_AT_ONCE]
             encoded = [w.encode() if isinstance(w, str) else w for w in part]
             self.rows[self.known : self.known + len(part)] = self.model.space.sums(encoded, self.model.logits)
+            self.hashes[self.known : self.known + len(part)] = word_hashes(encoded)
             self.known += len(part)
         self.pending = []
 
@@ -199,10 +235,12 @@ class WordRows(dict):
         if len(self) > self.most:
             self.clear()
             self.known, self.rows = 0, np.zeros((1024, self.rows.shape[1]), np.float32)
+            self.hashes = np.zeros(1024, np.uint64)
 
 
 def document_sums(rows: WordRows, documents: list[list]) -> np.ndarray:
     """Per document the sums of its words' rows. Words are numbered for the whole list before any is scored."""
+    space, logits = rows.model.space, rows.model.logits
     rows.trim()
     numbers = [np.fromiter(map(rows.__getitem__, words), np.int64, len(words)) for words in documents]
     rows.settle()
@@ -210,4 +248,8 @@ def document_sums(rows: WordRows, documents: list[list]) -> np.ndarray:
     for i, ids in enumerate(numbers):
         for start in range(0, len(ids), 100_000):
             out[i] += rows.rows[ids[start : start + 100_000]].sum(axis=0, dtype=np.float64)
+            if space.pair_weight:
+                pairs = space.pairs(rows.hashes[ids[start : start + 100_001]])
+                out[i, :-1] += space.pair_weight * logits[pairs].sum(axis=0, dtype=np.float64)
+                out[i, -1] += space.pair_weight * len(pairs)
     return out
