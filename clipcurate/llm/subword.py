@@ -127,7 +127,7 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 
 #: Share of the right answers among the rows kept apart that are not rejected.
-KEEP = 0.995
+KEEP = 0.999
 
 
 def train(
