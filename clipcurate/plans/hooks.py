@@ -21,9 +21,12 @@ Diarizer = Callable[[bytes, int], Iterable[tuple[float, float, str]]]
 # (text, reference path, exaggeration, cfg weight, file name) -> (frames, rate)
 Synthesizer = Callable[[str, str, float, float, str], tuple[int, int]]
 
-# The status of a clip whose diarizer took its worker down.
+# The status of a clip, or of a text to speak, whose model took its worker down.
 CRASHED = "error: crashed"
 
+#: Sample numbers of a unit of generation.
+UNIT_SAMPLES = 500
+
 _DIARIZATION_COLUMNS = DIARIZATION.fieldNames()
 _LOG_COLUMNS = GENERATION_LOG.fieldNames()
 
@@ -137,3 +140,38 @@ def generate(
         "ref_name", "ref_path", "preset", "exaggeration", "cfg_weight", "sample_no", "text", "file"
     )
     return spread.mapInPandas(run, GENERATION_LOG)
+
+
+_SPOKEN = ("ref_name", "preset", "sample_no", "text")
+
+
+def generate_in_units(
+    plan: DataFrame,
+    make_synthesizer: Callable[[], Synthesizer],
+    folder: str,
+    unit_samples: int = UNIT_SAMPLES,
+    wave_units: int = WAVE_UNITS,
+    most_waves: int | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
+    """`generate` of a plan, finished unit by unit in a folder of progress.
+
+    A unit is a stretch of `unit_samples` sample numbers of a voice and preset. What a committed unit has spoken is not
+    spoken again, unless its text is another one now. A text that kills its worker is recorded as `error: crashed`, and
+    the others of its unit are spoken. The result has the rows of this plan only, whatever else the folder holds; rows
+    that are repeated in the plan are spoken once.
+    """
+    block = F.call_function("div", F.col("sample_no"), F.lit(unit_samples).cast("long")).cast("string")
+    keys = plan.dropDuplicates(_SPOKEN).withColumn("unit", F.concat_ws("#", "ref_name", "preset", block))
+
+    def work(part: DataFrame) -> DataFrame:
+        return generate(part, make_synthesizer, tasks)
+
+    def give_up(part: DataFrame) -> DataFrame:
+        values = {"file": F.lit(None), "duration": F.lit(0.0), "status": F.lit(CRASHED)}
+        return part.select(
+            *[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in GENERATION_LOG.fields]
+        )
+
+    spoken = run_in_units(keys, work, give_up, folder, GENERATION_LOG, {c: c for c in _SPOKEN}, wave_units, most_waves)
+    return spoken.join(plan.select(*_SPOKEN), list(_SPOKEN), "left_semi").select(*_LOG_COLUMNS)

@@ -20,7 +20,7 @@ from clipcurate.operators.verdict import in_languages, text_ok
 from clipcurate.plans import generate as generation
 from clipcurate.plans import packing
 from clipcurate.plans.curate import CurationResult, Curator
-from clipcurate.plans.hooks import Diarizer, Synthesizer, diarize_in_units, generate
+from clipcurate.plans.hooks import Diarizer, Synthesizer, diarize_in_units, generate_in_units
 from clipcurate.plans.progress import source_unit
 from clipcurate.schemas import CLEAN_CLIP
 from clipcurate.session import written
@@ -236,7 +236,8 @@ def generate_speech(
 ) -> DataFrame:
     """Speak every text with every reference voice; returns the summary of the written log.
 
-    The summary reads the log, because the model must not run a second time.
+    What an earlier run into the same folder has spoken is not spoken again. The summary reads the log, because the
+    model must not run a second time.
     """
     voices = manifests.list_references(spark, references).select("ref_name", F.col("path").alias("ref_path"))
     plan = generation.generation_plan(
@@ -246,6 +247,6 @@ def generate_speech(
         *manifests.TEXT_ORDER,
     )
     path = f"{out.rstrip('/')}/{LOG_FOLDER}"
-    log = generate(plan, make_synthesizer)
+    log = generate_in_units(plan, make_synthesizer, f"{out.rstrip('/')}/{PROGRESS_FOLDER}/generation")
     tables.write_generation_log(log, path)
     return generation.generation_summary(spark.read.schema(log.schema).json(path))

@@ -98,8 +98,8 @@ def run_in_units(
 
     `keys` has a column `unit`. `work` gives at least one row for every key; `key` says which columns of its rows hold
     which of the keys. `give_up` gives the rows of a single key whose job fails. A call ends after `most_waves` waves,
-    if that is set, and a later one goes on. If no unit at all of a wave can be worked on, its failure is raised, as
-    that is not the fault of a key. Only the units of one wave come to the driver, and the keys of one unit.
+    if that is set, and a later one goes on. If no unit at all of a wave, or none of several keys of a unit, can be
+    worked on, the failure is raised, as that is not the fault of a key. Only the units of one wave come to the driver, and the keys of one unit.
     """
     spark = keys.sparkSession
     progress = Progress(spark, folder.rstrip("/"))
@@ -115,19 +115,28 @@ def run_in_units(
     def of_unit(name: str) -> DataFrame:
         return todo.where(F.col("unit") == name)
 
-    def halve(part: DataFrame, unit: str) -> None:
-        """Finish what can be finished of keys whose job has failed."""
+    def halve(part: DataFrame, unit: str) -> list[tuple[DataFrame, Exception]]:
+        """Finish what can be finished of keys whose job has failed; gives back each key that fails on its own."""
         rows = part.orderBy(*key).collect()
-        if len(rows) == 1:
-            failure = progress.attempt(part, [unit], give_up)
+        bad = []
+        for half in (rows[: len(rows) // 2], rows[len(rows) // 2 :]) if len(rows) > 1 else (rows,):
+            keys_of_half = spark.createDataFrame(half, part.schema)
+            failure = progress.attempt(keys_of_half, [unit], work)
+            if failure is not None:
+                bad += halve(keys_of_half, unit) if len(half) > 1 else [(keys_of_half, failure)]
+        return bad
+
+    def rescue(unit: str) -> None:
+        """Give up the keys of a unit that fail alone. If each of several does, the fault is not with the keys."""
+        part = written(of_unit(unit), "rescue")
+        several = part.limit(2).count() > 1
+        bad = halve(part, unit)
+        if several and len(bad) == part.count():
+            raise bad[0][1]
+        for single, _ in bad:
+            failure = progress.attempt(single, [unit], give_up)
             if failure is not None:
                 raise failure
-            return
-        middle = len(rows) // 2
-        for half in (rows[:middle], rows[middle:]):
-            keys_of_half = spark.createDataFrame(half, part.schema)
-            if progress.attempt(keys_of_half, [unit], work) is not None:
-                halve(keys_of_half, unit)
 
     def one_by_one(names: list[str]) -> None:
         failures = {name: progress.attempt(of_unit(name), [name], work) for name in names}
@@ -135,7 +144,7 @@ def run_in_units(
         if len(names) > 1 and len(failed) == len(names):
             raise failures[names[0]]
         for name in failed:
-            halve(of_unit(name), name)
+            rescue(name)
 
     alone = alone if most_waves is None else alone[:most_waves]
     one_by_one(alone)

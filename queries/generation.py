@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clipcurate.functions import names
 from clipcurate.plans import generate as plans
-from clipcurate.plans.hooks import diarize, diarize_in_units, generate
+from clipcurate.plans.hooks import diarize, diarize_in_units, generate, generate_in_units
 from clipcurate.session import scratch_path
 from queries import views
 
@@ -86,6 +86,14 @@ def diarize_units(spark, d):
     return diarize_in_units(recordings, wanted, make_stub_diarizer, folder).drop("language")
 
 
+def gen_units(spark, d):
+    """The log of a call that ends after some waves, and of one that goes on."""
+    plan = _plan(spark, d, (plans.DEFAULT_PRESET,))
+    folder = scratch_path(spark, "progress")
+    generate_in_units(plan, make_stub_synthesizer, folder, wave_units=2, most_waves=1)
+    return generate_in_units(plan, make_stub_synthesizer, folder)
+
+
 QUERIES = {
     "q_gen_plan": gen_plan,
     "q_gen_presets": gen_presets,
@@ -95,6 +103,7 @@ QUERIES = {
     "q_sample_names": sample_names,
     "q_diarize_hook": diarize_hook,
     "q_diarize_units": diarize_units,
+    "q_gen_units": gen_units,
 }
 
 _LOG = """(select ref_name, preset, sample_no, text,
@@ -135,3 +144,4 @@ ORACLE = {
     ),
 }
 ORACLE["q_diarize_units"] = ORACLE["q_diarize_hook"]
+ORACLE["q_gen_units"] = ORACLE["q_gen_log"]

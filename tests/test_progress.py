@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipcurate.plans import progress as progress_module
-from clipcurate.plans.hooks import CRASHED, diarize_in_units
+from clipcurate.plans.hooks import CRASHED, diarize_in_units, generate_in_units
 from clipcurate.plans.progress import Progress, source_unit
 from clipcurate.schemas import AUDIO, RAW_CLIP
 
@@ -116,3 +116,63 @@ def test_units_and_empty_input(spark, clips, tmp_path):
     assert [r[0] for r in units.select(source_unit()).collect()] == ["f#0", "f#0", "f#1", "#-1"]
     empty = clips.limit(0)
     assert diarize_in_units(empty, wanted_of(empty), listener(""), str(tmp_path / "p")).count() == 0
+
+
+def test_a_model_that_fails_for_every_key_of_one_unit_is_an_error(spark, clips, tmp_path):
+    def make():
+        raise ImportError("no such model")
+
+    folder = str(tmp_path / "progress")
+    one_unit = wanted_of(clips).where("id < 'c04'")
+    with pytest.raises(Exception, match="no such model"):
+        diarize_in_units(clips, one_unit, make, folder)
+    notes = tmp_path / "notes"
+    notes.mkdir()
+    rows = diarize_in_units(clips, one_unit, listener(str(notes)), folder).collect()
+    assert [r.status for r in rows] == ["ok"] * 4
+
+
+def plan_of(spark, number, text="t"):
+    rows = [("v", "/v.wav", "stable", 0.3, 0.3, i, f"{text}{i}", f"v_{i}.wav") for i in range(number)]
+    names = "ref_name string, ref_path string, preset string, exaggeration double, cfg_weight double, sample_no long, text string, file string"
+    return spark.createDataFrame(rows, names)
+
+
+def speaker(folder, bad=()):
+    def make():
+        def speak(text, ref, exaggeration, cfg_weight, file):
+            with open(os.path.join(folder, f"said-{text[1:]}"), "a") as f:
+                f.write("x")
+            if text in bad:
+                os._exit(9)
+            return 150, 100
+
+        return speak
+
+    return make
+
+
+def test_one_text_in_a_thousand_that_kills_its_worker_costs_one_result(spark, tmp_path):
+    notes, folder = tmp_path / "notes", str(tmp_path / "progress")
+    notes.mkdir()
+    plan = plan_of(spark, 1000)
+    rows = generate_in_units(plan, speaker(str(notes), bad=("t637",)), folder, tasks=2).collect()
+    assert sorted(r.sample_no for r in rows) == list(range(1000))
+    assert [(r.text, r.file, r.duration, r.status) for r in rows if r.status != "ok"] == [("t637", None, 0.0, CRASHED)]
+    said = heard(notes)
+    again = generate_in_units(plan, speaker(str(notes)), folder, tasks=2).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows)) and heard(notes) == said
+
+
+def test_speech_goes_on_and_a_changed_text_is_spoken_anew(spark, tmp_path):
+    notes, folder = tmp_path / "notes", str(tmp_path / "progress")
+    notes.mkdir()
+    plan = plan_of(spark, 12)
+    generate_in_units(plan, speaker(str(notes)), folder, unit_samples=2, wave_units=2, most_waves=1, tasks=1)
+    assert len(heard(notes)) == 4
+    changed = plan.withColumn("text", F.expr("if(sample_no = 1, 'u99', text)"))
+    rows = generate_in_units(changed.union(changed.limit(3)), speaker(str(notes)), folder, unit_samples=2, tasks=1).collect()
+    assert sorted(r.sample_no for r in rows) == list(range(12))
+    assert {r.text for r in rows if r.sample_no == 1} == {"u99"}
+    assert set(heard(notes).values()) == {1} and set(heard(notes)) == {*range(12), 99}
+    assert generate_in_units(plan.limit(0), speaker(str(notes)), str(tmp_path / "none")).count() == 0
