@@ -142,7 +142,7 @@ def generate(
     return spread.mapInPandas(run, GENERATION_LOG)
 
 
-_SPOKEN = ("ref_name", "preset", "sample_no", "text")
+_SPOKEN = ("ref_name", "preset", "sample_no", "text_hash")
 
 
 def generate_in_units(
@@ -162,16 +162,20 @@ def generate_in_units(
     that are repeated in the plan are spoken once.
     """
     block = F.call_function("div", F.col("sample_no"), F.lit(unit_samples).cast("long")).cast("string")
-    keys = plan.dropDuplicates(_SPOKEN).withColumn("unit", F.concat_ws("#", "ref_name", "preset", block))
+    hashed = plan.withColumn("text_hash", F.xxhash64("text"))
+    # The keys are narrow: a plan repeats each text for every voice, so its texts are only made wave by wave.
+    keys = hashed.select(*_SPOKEN).distinct().withColumn("unit", F.concat_ws("#", "ref_name", "preset", block))
+    schema = T.StructType([*GENERATION_LOG.fields, T.StructField("text_hash", T.LongType())])
+
+    def planned(part: DataFrame) -> DataFrame:
+        return hashed.join(part.select(*_SPOKEN), list(_SPOKEN), "left_semi").dropDuplicates(_SPOKEN)
 
     def work(part: DataFrame) -> DataFrame:
-        return generate(part, make_synthesizer, tasks)
+        return generate(planned(part), make_synthesizer, tasks).withColumn("text_hash", F.xxhash64("text"))
 
     def give_up(part: DataFrame) -> DataFrame:
         values = {"file": F.lit(None), "duration": F.lit(0.0), "status": F.lit(CRASHED)}
-        return part.select(
-            *[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in GENERATION_LOG.fields]
-        )
+        return planned(part).select(*[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
-    spoken = run_in_units(keys, work, give_up, folder, GENERATION_LOG, {c: c for c in _SPOKEN}, wave_units, most_waves)
-    return spoken.join(plan.select(*_SPOKEN), list(_SPOKEN), "left_semi").select(*_LOG_COLUMNS)
+    spoken = run_in_units(keys, work, give_up, folder, schema, {c: c for c in _SPOKEN}, wave_units, most_waves)
+    return spoken.join(hashed.select(*_SPOKEN), list(_SPOKEN), "left_semi").select(*_LOG_COLUMNS)
