@@ -164,11 +164,15 @@ def generate_in_units(
     block = F.call_function("div", F.col("sample_no"), F.lit(unit_samples).cast("long")).cast("string")
     hashed = plan.withColumn("text_hash", F.xxhash64("text"))
     # The keys are narrow: a plan repeats each text for every voice, so its texts are only made wave by wave.
-    keys = hashed.select(*_SPOKEN).distinct().withColumn("unit", F.concat_ws("#", "ref_name", "preset", block))
+    # Units are in order of their samples, so that a wave needs a stretch of the texts for all voices.
+    unit = F.concat_ws("#", F.lpad(block, 12, "0"), "ref_name", "preset")
+    keys = hashed.select(*_SPOKEN).distinct().withColumn("unit", unit)
     schema = T.StructType([*GENERATION_LOG.fields, T.StructField("text_hash", T.LongType())])
 
     def planned(part: DataFrame) -> DataFrame:
-        return hashed.join(part.select(*_SPOKEN), list(_SPOKEN), "left_semi").dropDuplicates(_SPOKEN)
+        low, high = part.agg(F.min("sample_no"), F.max("sample_no")).first()
+        stretch = hashed.where(F.col("sample_no").between(low, high))
+        return stretch.join(part.select(*_SPOKEN), list(_SPOKEN), "left_semi").dropDuplicates(_SPOKEN)
 
     def work(part: DataFrame) -> DataFrame:
         return generate(planned(part), make_synthesizer, tasks).withColumn("text_hash", F.xxhash64("text"))
@@ -178,4 +182,8 @@ def generate_in_units(
         return planned(part).select(*[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
     spoken = run_in_units(keys, work, give_up, folder, schema, {c: c for c in _SPOKEN}, wave_units, most_waves)
-    return spoken.join(hashed.select(*_SPOKEN), list(_SPOKEN), "left_semi").select(*_LOG_COLUMNS)
+    wanted = hashed.select(*_SPOKEN)
+    # Only the keys are compared; the texts of the log are not shuffled unless it has rows of another plan.
+    if not spoken.select(*_SPOKEN).join(wanted, list(_SPOKEN), "left_anti").isEmpty():
+        spoken = spoken.join(wanted, list(_SPOKEN), "left_semi")
+    return spoken.select(*_LOG_COLUMNS)

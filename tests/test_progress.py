@@ -176,3 +176,18 @@ def test_speech_goes_on_and_a_changed_text_is_spoken_anew(spark, tmp_path):
     assert {r.text for r in rows if r.sample_no == 1} == {"u99"}
     assert set(heard(notes).values()) == {1} and set(heard(notes)) == {*range(12), 99}
     assert generate_in_units(plan.limit(0), speaker(str(notes)), str(tmp_path / "none")).count() == 0
+
+
+def test_waves_grow_with_the_units_and_shrink_where_they_fail(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(progress_module, "CALL_WAVES", 2)
+    monkeypatch.setattr(progress_module, "WAVE_UNITS", 4)
+    real, calls = Progress.attempt, []
+    monkeypatch.setattr(Progress, "attempt", lambda self, keys, units, work: calls.append(len(units)) or real(self, keys, units, work))
+    notes, folder = tmp_path / "notes", str(tmp_path / "progress")
+    notes.mkdir()
+    plan = plan_of(spark, 20)
+    rows = generate_in_units(plan, speaker(str(notes), bad=("t3",)), folder, unit_samples=1, wave_units=1, tasks=1).collect()
+    assert [r.text for r in rows if r.status == CRASHED] == ["t3"] and len(rows) == 20
+    # A wave of ten is cut into threes, the failed three into units; the unit is halved to its key and given up.
+    assert calls == [10, 3, 3, 3, 1, 1, 1, 1, 1, 1, 10]
+    assert all(n == 1 for i, n in heard(notes).items() if i >= 10)
