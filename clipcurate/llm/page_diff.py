@@ -1,8 +1,9 @@
 """Main text of web pages by comparing each page with its nearest neighbour by URL on the same host.
 
-A page is read as text lines in page order. Markup says what most of them are: those in navigation, headers, footers,
-notices, adverts, forms and comments go, those inside an article or main element stay. Lines that markup says
-nothing about are aligned with those of the neighbouring page by longest common subsequence, and shared ones go.
+A page is read as text lines in page order, all of them, menus and notices too. Every page's lines are aligned with those
+of its neighbour by longest common subsequence: what they share is taken for the template, the rest for the text. Markup
+then checks that: of the lines a page has for itself, those in navigation, headers, footers, notices, adverts, forms and
+comments go, and of shared lines, those inside an article or main element come back, as articles quote each other.
 """
 
 from __future__ import annotations
@@ -71,44 +72,60 @@ def lines_of(page: str) -> list[tuple[bool, str]]:
     Character references are decoded, white space becomes one space, and empty lines go. An element that is ruled
     out ends at its own end tag; without one, only its start tag is skipped.
     """
+    return [(inside, text) for furniture, inside, text in marked_lines(page) if not furniture]
+
+
+def marked_lines(page: str) -> list[tuple[bool, bool, str]]:
+    """(ruled out by markup, inside an article or main element, text) of all lines of a page but scripts, styles and the like."""
     lower = page.lower() if page.isascii() else re.sub("[A-Z]", lambda m: m.group().lower(), page)
-    lines: list[tuple[bool, str]] = []
+    lines: list[tuple[bool, bool, str]] = []
     parts: list[str] = []
-    main = at = 0
+    main = at = until = 0
 
-    def close() -> None:
+    def close(furniture: bool) -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append((main > 0, text))
+            lines.append((furniture, main > 0, text))
         parts.clear()
 
     while True:
-        found = _MARKUP.search(page, at)
+        if until and at >= until:
+            close(True)
+            until = 0
+        out = at < until
+        stop = until if out else len(page)
+        found = _MARKUP.search(page, at, stop)
         if found is None:
-            parts.append(page[at:])
-            break
+            parts.append(page[at:stop])
+            if not out:
+                close(False)
+                return lines
+            at = until
+            continue
         parts.append(page[at : found.start()])
         at = found.end()
         name = (found.group(2) or "").lower()
         if not name or name in _INLINE and found.group(1):
             continue
         if found.group(1):
-            close()
-            if name in ("article", "main"):
+            close(out)
+            if name in ("article", "main") and not out:
                 main = max(0, main - 1)
             continue
-        if name not in _VOID and not found.group(3).rstrip().endswith("/") and _dropped(name, found.group(3), main > 0):
+        opens = name not in _VOID and not found.group(3).rstrip().endswith("/")
+        if opens and (name in _NEVER_TEXT if out else _dropped(name, found.group(3), main > 0)):
             if name not in _INLINE:
-                close()
+                close(out)
             end = _end_of(lower, name, at)
-            at = end if end >= 0 else at
+            if out or name in _NEVER_TEXT or name in _INLINE:
+                at = at if end < 0 else min(end, stop)
+            else:
+                until = end
             continue
         if name not in _INLINE:
-            close()
-            if name in ("article", "main"):
+            close(out)
+            if name in ("article", "main") and not out:
                 main += 1
-    close()
-    return lines
 
 
 def _end_of(lower: str, name: str, at: int) -> int:
@@ -152,16 +169,22 @@ def common_lines(left: list[str], right: list[str]) -> set[int]:
     return shared
 
 
-def main_text(lines: list[tuple[bool, str]], neighbour: list[tuple[bool, str]] | None) -> str:
-    """The lines that are left, joined by one space."""
-    if any(inside for inside, _ in lines):
-        return " ".join(text for inside, text in lines if inside)
-    own = [text for _, text in lines]
-    if neighbour:
-        shared = common_lines(own, [text for _, text in neighbour])
-        if sum(len(own[i]) for i in shared) <= COPY_SHARE * sum(map(len, own)):
-            own = [text for i, text in enumerate(own) if i not in shared]
-    return " ".join(own)
+def main_text(lines: list[tuple[bool, bool, str]], neighbour: list[tuple[bool, bool, str]] | None) -> str:
+    """The lines that the neighbour does not have, checked against the markup of `marked_lines`, joined by one space.
+
+    Lines of a page's own that markup rules out go, and so do those outside its article or main element, if it has one.
+    Shared lines come back inside such an element, and in a copy: where they are more than `COPY_SHARE` of the text.
+    """
+    shared = common_lines([t for *_, t in lines], [t for *_, t in neighbour]) if neighbour else set()
+    own = [i for i, (furniture, *_) in enumerate(lines) if i not in shared and not furniture]
+    if any(inside and not furniture for furniture, inside, _ in lines):
+        back = [i for i in shared if lines[i][1] and not lines[i][0]]
+        kept = [i for i in own if lines[i][1]] + back
+    else:
+        back = [i for i in shared if not lines[i][0]]
+        size, of = (sum(len(lines[i][2]) for i in chosen) for chosen in (back, own + back))
+        kept = own + back if size > COPY_SHARE * of else own
+    return " ".join(lines[i][2] for i in sorted(kept))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -169,7 +192,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Pages are ordered by (host, path, page_id); of the page before and the page after on the same host, the nearest
     is the one with the longer common beginning of the path, and the one after if both are equal. A page alone on
-    its host, and a page with an article or main element, need none. Pages without `://` in the URL share the empty
+    its host has none, and its markup alone decides. Pages without `://` in the URL share the empty
     host. A null page has an empty text. Repeated rows of one page id are neighbours of each other and, being copies,
     keep their lines. Other columns than `html` are passed on; a column `main_text` is replaced.
     """
@@ -191,7 +214,7 @@ def extract(pages: DataFrame) -> DataFrame:
             copies, htmls = batch.column("_copy").to_pylist(), batch.column("html").to_pylist()
             out, rows = [], []
             for i in range(batch.num_rows):
-                row = (hosts[i], paths[i], copies[i], lines_of(htmls[i] or ""), batch.slice(i, 1).select(columns))
+                row = (hosts[i], paths[i], copies[i], marked_lines(htmls[i] or ""), batch.slice(i, 1).select(columns))
                 if held is not None:
                     if held[2] == 0:
                         rows.append(held[4])

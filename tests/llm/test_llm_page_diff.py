@@ -72,3 +72,25 @@ def test_extract_deletes_what_neighbours_share(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert pd_.extract(pages.limit(0)).count() == 0
+
+
+def test_every_page_is_aligned_and_its_markup_checks_the_difference(monkeypatch):
+    menu, notice = "<nav><p>Menu<p>Home</nav>", "<div class='cookie-notice'>{}</div>"
+    first = f"{menu}<article><p>quoted<p>one</article>{notice.format('own note')}<footer>Imprint</footer>"
+    second = f"{menu}<article><p>quoted<p>two</article>{notice.format('other note')}<footer>Imprint</footer>"
+    a, b = pd_.marked_lines(first), pd_.marked_lines(second)
+    assert [t for *_, t in a] == ["Menu", "Home", "quoted", "one", "own note", "Imprint"]
+    real, aligned = pd_.common_lines, []
+    monkeypatch.setattr(pd_, "common_lines", lambda *sides: aligned.append(real(*sides)) or aligned[-1])
+    assert pd_.main_text(a, b) == "quoted one" and aligned == [{0, 1, 2, 5}]
+    # Without the names that markup gives, the difference decides alone.
+    bare = [[(False, False, t) for *_, t in lines] for lines in (a, b)]
+    assert pd_.main_text(*bare) == "one own note"
+    assert pd_.main_text(a, None) == pd_.main_text(a, a) == "quoted one"
+
+
+def test_lines_in_furniture_end_where_it_ends():
+    page = "x<nav>a<script>'</nav>'</script>b<article>c</article><p>d</nav>e<aside>f<!-- </aside> -->g<form>h"
+    assert [(t, out) for out, _, t in pd_.marked_lines(page)][:3] == [("x", False), ("a", True), ("'", False)]
+    assert pd_.lines_of("<nav><article>c</article></nav><p>d") == [(False, "d")]
+    assert pd_.lines_of("<aside>f<!-- </aside> -->g<form>h") == [(False, "-->g"), (False, "h")]
