@@ -102,3 +102,17 @@ def test_long_text_and_large_vocabulary(spark, monkeypatch):
     monkeypatch.setattr(tokens, "MAX_TOKENS", 1)
     with pytest.raises(ValueError):
         tokens.encode_tokens(rows, table, -1)
+
+
+@pytest.mark.parametrize("dense", (0, tokens.DENSE_STEPS))
+def test_places_of_many_texts_step_together(monkeypatch, dense):
+    monkeypatch.setattr(tokens, "DENSE_STEPS", dense)
+    monkeypatch.setattr(tokens, "CODES_AT_ONCE", 9)
+    rnd = random.Random(5)
+    for _ in range(200):
+        vocab = [("".join(rnd.choice("ab \0é😀") for _ in range(rnd.randint(1, 3))), i) for i in range(rnd.randint(0, 8))]
+        trie = tokens.Trie(vocab)
+        texts = ["".join(rnd.choice("ab \0é😀\ud800") for _ in range(rnd.randint(0, 9))) for _ in range(7)]
+        found = tokens.Table(trie).encode(texts, -1)
+        assert [ids.tolist() for ids in found] == [trie.encode(t, -1, False) for t in texts]
+    assert tokens.Table(trie).encode([], -1) == []
