@@ -3,10 +3,12 @@ import struct
 import wave
 
 import pytest
+from pyspark.sql import functions as F
 
 from clipcurate.schemas import AUDIO
 from clipcurate.sinks.wav import as_16_bit, export_wavs
-from clipcurate.sources.wav import HEAD_BYTES, wav_info, with_wav_info
+from clipcurate.sources import wav as source
+from clipcurate.sources.wav import HEAD_BYTES, HEADS, wav_info, with_wav_info
 
 
 def wav(frames=100, channels=1, width=2, rate=24000):
@@ -52,6 +54,26 @@ def test_wav_info_in_spark(spark):
     assert got == {name: want for name, (_, want) in CASES.items()}
 
 
+def test_long_chunks_are_stepped_over_and_not_sent(spark):
+    files = {}
+    for chunks in (0, 1, 5, HEADS + 3):
+        data = wav(frames=HEAD_BYTES)
+        for _ in range(chunks):
+            data = with_chunk(data, b"z" * (HEAD_BYTES * 2 + 1))
+        files[f"{chunks}"] = data
+        files[f"{chunks} cut"] = data[:-HEAD_BYTES]
+        files[f"{chunks} cut in a chunk"] = data[: len(data) - HEAD_BYTES * 2 - 10]
+        files[f"{chunks} odd"] = data.replace(b"fmt ", b"fmt_")
+        files[f"{chunks} short"] = data.replace(b"fmt \x10", b"fmt \x0f")
+        files[f"{chunks} codec"] = data[:20] + struct.pack("<H", 85) + data[22:]
+    df = spark.createDataFrame([(n, (d, 24000)) for n, d in files.items()], f"id string, audio {AUDIO.simpleString()}")
+    got = {r.id: tuple(r)[2:] for r in with_wav_info(df).collect()}
+    assert got == {n: wav_info(d, len(d)) for n, d in files.items()}
+    places = source._chunk_places(F.col("audio.bytes"), F.octet_length("audio.bytes"))
+    assert df.where("id = '5'").select(F.size(places)).first()[0] == 7
+    assert df.where(f"id = '{HEADS + 3}'").select(F.size(places)).first()[0] == HEADS + 1
+
+
 def test_header_at_every_cut_is_never_misread():
     data = with_chunk(wav(), b"q" * 40)
     for cut in range(len(data)):
