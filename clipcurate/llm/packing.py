@@ -26,6 +26,7 @@ from clipcurate.session import ship_code, written
 CAPACITY = 2048
 #: The id that ends every document.
 END = 0
+_END_BYTES = END.to_bytes(4, "little")
 #: Ranks within a length have so many bits in the look-up key.
 _RANK_BITS = 47
 
@@ -114,32 +115,36 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     )
 
 
-def pieces(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, id_column: str = "doc_id", capacity: int = CAPACITY, keep_ids: bool = True
+) -> DataFrame:
     """The token pieces of `text`: id, piece, start, length, ids (little-endian), their CRC-32, and the piece's rank.
 
     A document's ids are those of the tokenizer with `END` behind them; only longer ones than `capacity` are cut.
-    `task` and `rank` number the pieces of one length within a task.
+    `task` and `rank` number the pieces of one length within a task. Without `keep_ids` the ids stay in the task.
     """
     ship_code(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
+    names = ["id", "piece", "start", "length", *(["ids"] if keep_ids else []), "ids_crc32", "task", "rank"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds.of(tokenizer)
-        end = np.array([END], "<u4")
         seen = np.zeros(capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
         for whole in batches:
             for batch in byte_slices(whole, "text"):
-                at, number, start, size, data = [], [], [], [], []
+                at, number, start, size, crc, data = [], [], [], [], [], []
                 for i, ids in enumerate(words.encode(batch.column("text"))):
-                    ids = np.append(ids, end)
-                    for n, first in enumerate(range(0, len(ids), capacity)):
-                        part = ids[first : first + capacity]
+                    coded = ids.tobytes() + _END_BYTES
+                    for n, first in enumerate(range(0, len(coded), 4 * capacity)):
+                        part = coded if len(coded) <= 4 * capacity else coded[first : first + 4 * capacity]
                         at.append(i)
                         number.append(n)
-                        start.append(first)
-                        size.append(len(part))
-                        data.append(part.tobytes())
+                        start.append(first // 4)
+                        size.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
+                        if keep_ids:
+                            data.append(part)
                 rank = []
                 for n in size:
                     rank.append(int(seen[n]))
@@ -150,19 +155,18 @@ def pieces(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", capacity:
                         pa.array(number, pa.int32()),
                         pa.array(start, pa.int64()),
                         pa.array(size, pa.int64()),
-                        pa.array(data, pa.binary()),
-                        pa.array(map(zlib.crc32, data), pa.int64()),
+                        *([pa.array(data, pa.binary())] if keep_ids else []),
+                        pa.array(crc, pa.int64()),
                         pa.array([task] * len(at), pa.int32()),
                         pa.array(rank, pa.int64()),
                     ],
-                    names=["id", "piece", "start", "length", "ids", "ids_crc32", "task", "rank"],
+                    names=names,
                 )
         give_back()
 
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(
-        run, f"id {kind}, piece int, start long, length long, ids binary, ids_crc32 long, task int, rank long"
-    )
+    schema = f"id {kind}, piece int, start long, length long,{' ids binary,' if keep_ids else ''} ids_crc32 long, task int, rank long"
+    return texts.mapInArrow(run, schema)
 
 
 def place(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -207,5 +211,4 @@ def pack(
     columns of the input, whatever their names, are not read. Without `keep_ids` only the narrow columns are written
     and shuffled, which is a plan of the packing.
     """
-    found = pieces(docs, tokenizer, id_column, capacity)
-    return place(written(found if keep_ids else found.drop("ids"), "pieces"), capacity)
+    return place(written(pieces(docs, tokenizer, id_column, capacity, keep_ids), "pieces"), capacity)

@@ -133,3 +133,10 @@ def test_other_splits_give_the_same_bins(spark):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id string, text string"), WORDS).count() == 0
+
+
+def test_ids_stay_in_the_task_when_only_the_plan_is_wanted(spark):
+    docs = spark.createDataFrame([(1, "one text"), (2, None), (3, "word " * 5000)], "doc_id long, text string")
+    whole, narrow = (packing.pieces(docs, WORDS, keep_ids=keep) for keep in (True, False))
+    assert narrow.columns == [c for c in whole.columns if c != "ids"]
+    assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, whole.drop("ids").collect()))
