@@ -83,6 +83,8 @@ def apply_speakers(
             speakers = in_languages(speakers, languages).drop("language")
         else:
             key = ["language", "id"]
+    # Clips that pass need not be met, so they are not shuffled.
+    speakers = speakers.where(~F.col("single_speaker"))
     failed = ~F.coalesce(F.col("single_speaker"), F.lit(True))
     verdict = F.when((F.col("verdict") == KEPT) & failed, MULTI_SPEAKER_REJECTED).otherwise(
         F.col("verdict")

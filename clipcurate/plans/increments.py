@@ -29,14 +29,20 @@ _STREAM_BATCH = re.compile(r"(stream-[0-9a-f]+)-(\d+)")
 
 
 def copies_of(rows: DataFrame, ledger: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """The rows that are further copies of recorded clips and are recorded nowhere yet, by their source position.
+    """The rows that are recorded nowhere yet, by their source position, as further copies: their clips are recorded.
 
     Clips that a ledger records without a position, as imported ones, have no copies: they may be these themselves.
+    Since the ledger has every clip of the rows, only those few are looked for, and among new copies alone.
     """
     place = [*CLIP_KEY, *SOURCE_ORDER]
-    recorded = ledger.where(F.col("src_file").isNotNull()).select(*CLIP_KEY).distinct()
     known = ledger.select(*place).union(duplicates.select(*place))
-    return rows.select(*place).join(recorded, list(CLIP_KEY), "left_semi").join(known, place, "left_anti").distinct()
+    named = rows.select(*place).where(F.col("language").isNotNull() & F.col("id").isNotNull())
+    found = named.join(known, place, "left_anti").distinct()
+    unplaced = ledger.where(F.col("src_file").isNull()).select(*CLIP_KEY)
+    if unplaced.isEmpty():
+        return found
+    placed = ledger.where(F.col("src_file").isNotNull()).select(*CLIP_KEY)
+    return found.join(unplaced.join(placed, list(CLIP_KEY), "left_anti"), list(CLIP_KEY), "left_anti")
 
 
 def record_copies(

@@ -151,3 +151,17 @@ def test_the_newest_batch_of_a_stream_is_not_compacted(clips, spark, tmp_path):
     compact_ledger(spark, path)
     assert {f.split("/")[0].split("=")[1].split("-")[0] for f in files(path)} == {"generation", "stream"}
     assert state(read_ledger(spark, path)) == before
+
+
+def test_copies_are_found_without_a_second_meeting_of_rows_and_ledger(spark):
+    from clipcurate.plans.increments import copies_of
+
+    place = "language string, id string, src_file string, src_row long"
+    rows = [("en", "a", "f", 1), ("en", "a", "g", 2), ("en", "a", "g", 2), ("en", "b", "f", 3), ("en", "c", "f", 4)]
+    rows += [("en", "c", "g", 5), (None, "a", "f", 6), ("en", None, "f", 7), ("en", "d", "h", 8)]
+    ledger = [("en", "a", "f", 1), ("en", "b", "f", 3), ("en", "c", None, None), ("en", "d", None, None), ("en", "d", "f", 0)]
+    found = [spark.createDataFrame(x, place) for x in (rows, ledger, [])]
+    assert sorted(map(tuple, copies_of(*found).collect())) == [("en", "a", "g", 2), ("en", "d", "h", 8)]
+    placed = [found[0].where("id in ('a', 'b')"), found[1].where("src_file is not null"), found[2]]
+    plan = copies_of(*placed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
