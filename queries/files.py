@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clipcurate.functions.names import CSV_HEADER, csv_line, wav_path
 from clipcurate.operators import pack
 from clipcurate.plans import jobs, packing
+from clipcurate.schemas import CLEAN_CLIP
 from clipcurate.session import scratch_path
 from clipcurate.sinks import tables, text, vocabulary, wav
 from clipcurate.sources import clips as clip_source
@@ -132,7 +133,7 @@ def pack_append(spark, d):
     kept = curation.kept_table(spark, d)
     packing.append_clips(kept.join(views.ledger(spark, d), ["language", "id"], "left_semi"), audio, out)
     packing.append_clips(kept, audio, out)
-    return _packed_columns(spark.read.parquet(f"{out}/{tables.SHARD_FOLDER}"))
+    return _packed_columns(packing.read_shards(spark, out, CLEAN_CLIP.fields))
 
 
 def packed(spark, d):

@@ -104,34 +104,55 @@ def wav_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present.select(wav_path(F.col("id")).alias("wav_path"))
 
 
+def _status() -> Column:
+    """The status of a clip's diarization. Asked of each of its phrases instead, these would carry the whole text."""
+    return F.when(F.contains("text", F.lit("@")), "failed").otherwise("ok").alias("status")
+
+
 def _phrases(clips_in: DataFrame) -> DataFrame:
-    phrases = F.posexplode(F.split("text", PHRASE_END)).alias("pos", "phrase")
-    return clips_in.select(F.col("id").alias("clip_id"), "text", phrases)
+    split = F.split("text", PHRASE_END)
+    rows = clips_in.select(F.col("id").alias("clip_id"), _status(), split.alias("_phrases"))
+    return rows.select("clip_id", "status", F.posexplode("_phrases").alias("pos", "phrase"))
 
 
-def _segment_columns() -> list[Column]:
-    start = F.col("pos").cast("long") * 1_000_000
+def _segment_columns(phrase: Column, pos: Column) -> list[Column]:
+    start = pos.cast("long") * 1_000_000
     return [
         start.alias("start_us"),
-        (start + F.length("phrase") * 12_000).alias("end_us"),
-        F.when(F.contains("phrase", F.lit("j")), "B").otherwise("A").alias("speaker"),
+        (start + F.length(phrase) * 12_000).alias("end_us"),
+        F.when(F.contains(phrase, F.lit("j")), "B").otherwise("A").alias("speaker"),
     ]
 
 
 def clip_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     phrases = _phrases(clips(spark, sf_dir)).where(F.length("phrase") >= 4)
-    return phrases.select("clip_id", *_segment_columns())
+    return phrases.select("clip_id", *_segment_columns(F.col("phrase"), F.col("pos")))
 
 
 def diarization(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The segments of each clip; a phrase too short to be one leaves a row without bounds."""
-    heard = F.length("phrase") >= 4
-    failed = F.contains("text", F.lit("@"))
     return _phrases(clips(spark, sf_dir)).select(
-        "clip_id",
-        *[F.when(heard, c).alias(n) for n, c in zip(("start_us", "end_us", "speaker"), _segment_columns())],
-        F.when(failed, "failed").otherwise("ok").alias("status"),
+        "clip_id", *_heard_columns(F.col("phrase"), F.col("pos")), "status"
+    )
+
+
+def _heard_columns(phrase: Column, pos: Column) -> list[Column]:
+    heard = F.length(phrase) >= 4
+    names = ("start_us", "end_us", "speaker")
+    return [F.when(heard, c).alias(n) for n, c in zip(names, _segment_columns(phrase, pos))]
+
+
+def hearings(clips_in: DataFrame) -> DataFrame:
+    """`diarization` with one row per clip: its `segments` as an array, those of all clips of that id."""
+    others = [c for c in clips_in.columns if c not in ("id", "text")]
+    segments = F.transform(F.split("text", PHRASE_END), lambda phrase, pos: F.struct(*_heard_columns(phrase, pos)))
+    rows = clips_in.select("id", segments.alias("_segments"), _status(), F.struct(*others).alias("_clip"))
+    heard = rows.groupBy("id").agg(
+        F.flatten(F.collect_list("_segments")).alias("segments"),
+        F.max("status").alias("status"),
+        F.collect_list("_clip").alias("_clips"),
     )
+    return heard.select("id", "segments", "status", F.explode("_clips").alias("_clip")).select("id", "segments", "status", "_clip.*")
 
 
 def event_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from clipcurate.plans import packing
 from clipcurate.plans.curate import Curator
+from clipcurate.schemas import CLEAN_CLIP
 from clipcurate.session import written
+from clipcurate.sinks import tables
 
 
 @pytest.fixture
@@ -135,3 +137,18 @@ def test_shard_of_every_key(spark):
     for r in searched.select("language", "id", packing._shard_of(F.col("id")).alias("s")).collect():
         fits = [s for lang, s, first in entries if lang == r.language and first <= r.id]
         assert r.s == (max(fits) if fits else None)
+
+
+def test_many_shards_are_listed_by_few_tasks(spark, tmp_path):
+    rows = spark.range(80).selectExpr("cast(id as string) id", "'gu' language", "format_string('shard_%05d', id) shard")
+    rows.coalesce(1).write.partitionBy("shard").parquet(str(tmp_path / tables.SHARD_FOLDER))
+    context = spark.sparkContext
+    context.setJobGroup("listing", "")
+    try:
+        found = packing.read_shards(spark, str(tmp_path), CLEAN_CLIP.fields[:1])
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    stages = [i for job in status.getJobIdsForGroup("listing") for i in status.getJobInfo(job).stageIds]
+    assert stages and all(status.getStageInfo(i).numTasks < 80 for i in stages)
+    assert found.where("shard_no >= 78").count() == 2 and found.count() == 80
