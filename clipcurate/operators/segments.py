@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -109,13 +111,26 @@ def single_speaker_of(segments: Column, status: Column) -> Column:
     here = F.filter(
         F.coalesce(segments, F.array()), lambda s: s["start_us"].isNotNull() | s["end_us"].isNotNull()
     )
+    failed = F.coalesce(status != "ok", F.lit(True))
+    return _named(here, _one_at_a_time) & ~failed
+
+
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, where the value is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _one_at_a_time(here: Column) -> Column:
+    """One speaker at most, no two segments with a common instant, and none that is unusable."""
     bad = F.exists(
         here,
         lambda s: (s["start_us"].isNull() != s["end_us"].isNull()) | F.coalesce(s["end_us"] < s["start_us"], F.lit(False)),
     )
-    ordered = F.array_sort(F.transform(here, lambda s: F.struct(s["start_us"].alias("start"), s["end_us"].alias("end"))))
-    neighbours = F.arrays_zip(ordered.alias("a"), F.slice(ordered, 2, F.greatest(F.size(ordered), F.lit(1))).alias("b"))
-    overlap = F.exists(neighbours, lambda n: F.coalesce(n["b"]["start"] < n["a"]["end"], F.lit(False)))
+    bounds = F.array_sort(F.transform(here, lambda s: F.struct(s["start_us"].alias("start"), s["end_us"].alias("end"))))
     speakers = F.array_distinct(F.filter(F.transform(here, lambda s: s["speaker"]), lambda x: x.isNotNull()))
-    failed = F.coalesce(status != "ok", F.lit(True))
-    return (F.size(speakers) <= 1) & ~overlap & ~bad & ~failed
+    return (F.size(speakers) <= 1) & ~bad & ~_named(bounds, _neighbours_overlap)
+
+
+def _neighbours_overlap(ordered: Column) -> Column:
+    neighbours = F.arrays_zip(ordered.alias("a"), F.slice(ordered, 2, F.greatest(F.size(ordered), F.lit(1))).alias("b"))
+    return F.exists(neighbours, lambda n: F.coalesce(n["b"]["start"] < n["a"]["end"], F.lit(False)))

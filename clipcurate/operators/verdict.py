@@ -67,6 +67,21 @@ def measured_verdict(config: CurationConfig) -> Column:
     )
 
 
+def passes_measured(config: CurationConfig) -> Column:
+    """Whether `measured_verdict` keeps a clip, asked of its source columns; true or false, never null.
+
+    For a filter. Spark moves it below the columns it reads, so that a text would be cleaned at every mention of its
+    length; here it is cleaned once.
+    """
+    duration = duration_seconds(F.col("frames"), F.col("sampling_rate"))
+    passes = lambda text: (
+        F.coalesce(F.length(text) >= config.min_text_chars, F.lit(False))
+        & duration.between(config.min_duration_s, config.max_duration_s)
+        & chars_per_second(text, duration).between(config.min_cps, config.max_cps)
+    )
+    return F.coalesce(F.exists(F.array(clean_text(F.col("text"))), passes), F.lit(False))
+
+
 def apply_speakers(
     measured: DataFrame, speakers: DataFrame | None, languages: tuple[str, ...] | None = None
 ) -> DataFrame:

@@ -27,7 +27,7 @@ def with_hearings(clips: DataFrame, hearings: DataFrame, curator: Curator, wait:
     it goes on without one, with null. So state holds the clips and hearings of two such spans of time.
     """
     arriving = verdict.in_languages(clips, curator.config.languages).withWatermark("arrived", late)
-    tested = verdict.with_measures(arriving).withColumn("_early", verdict.measured_verdict(curator.config))
+    waits = verdict.passes_measured(curator.config)
     heard = hearings.select(
         F.col("language").alias("_language"),
         F.col("id").alias("_id"),
@@ -37,8 +37,8 @@ def with_hearings(clips: DataFrame, hearings: DataFrame, curator: Curator, wait:
     in_time = F.expr(f"_heard >= arrived - interval {wait} and _heard <= arrived + interval {wait}")
     same = (F.col("language") == F.col("_language")) & (F.col("id") == F.col("_id"))
     columns = [*clips.columns, "single_speaker"]
-    held = tested.where(F.col("_early") == verdict.KEPT).join(heard, same & in_time, "left_outer")
-    at_once = tested.where(F.col("_early") != verdict.KEPT).withColumn("single_speaker", F.lit(None).cast("boolean"))
+    held = arriving.where(waits).join(heard, same & in_time, "left_outer")
+    at_once = arriving.where(~waits).withColumn("single_speaker", F.lit(None).cast("boolean"))
     return at_once.select(*columns).union(held.select(*columns))
 
 

@@ -5,9 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from clipcurate.operators import verdict
 from clipcurate.operators.segments import single_speaker, single_speaker_of
+from clipcurate.plans.curate import Curator
 from clipcurate.sources.ledger import read_ledger
-from clipcurate.streaming.speakers import curate_stream_with_speakers
+from clipcurate.streaming.speakers import curate_stream_with_speakers, with_hearings
 
 SEGMENT = "array<struct<start_us:long,end_us:long,speaker:string>>"
 HEARING = f"language string, id string, segments {SEGMENT}, status string, arrived timestamp"
@@ -75,3 +77,23 @@ def test_runs_without_news_change_nothing(run):
     first = run(1, [("a", "gu", TEXT, 3)], [("a", ONE, "ok"), ("a", ONE, "ok")])
     assert first == {"a": "kept"}
     assert run(1) == first
+
+
+def test_clips_wait_if_their_measured_verdict_keeps_them(make_clips):
+    texts = (None, "", " |> ", "x", "x" * 30, "x " * 40, "x" * 600)
+    rows = [(f"{n}-{s}", "gu", text, s) for n, text in enumerate(texts) for s in (None, 0, 1.9, 2, 7.5, 20, 20.1)]
+    clips, config = make_clips(*rows), Curator().config
+    clips = clips.union(clips.withColumn("sampling_rate", F.lit(0)))
+    kept = verdict.with_measures(clips).where(verdict.measured_verdict(config) == verdict.KEPT)
+    found = clips.where(verdict.passes_measured(config))
+    key = lambda rows: sorted((r.id, r.sampling_rate) for r in rows.collect())
+    assert key(found) == key(kept) and 0 < found.count() < clips.count()
+    assert found.count() + clips.where(~verdict.passes_measured(config)).count() == clips.count()
+
+
+def test_a_text_is_cleaned_once_on_each_way(spark, make_clips):
+    arrived = F.timestamp_seconds(F.lit(3600)).alias("arrived")
+    clips = make_clips(("a", "gu", TEXT, 3)).select("*", arrived)
+    both = with_hearings(clips, spark.createDataFrame([], HEARING), Curator(), "1 hour", "0 seconds")
+    assert both._jdf.queryExecution().analyzed().toString().count("translate(") == 2
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("translate(") <= 2
