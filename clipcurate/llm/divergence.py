@@ -8,7 +8,6 @@ ties as the terms would. All arithmetic is in integers.
 from __future__ import annotations
 
 import bisect
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipcurate.llm.common import byte_slices, give_back, shuffle_partitions
-from clipcurate.llm.transducer import Transducer, build
+from clipcurate.llm.transducer import LONG_BYTES, Transducer, build
 from clipcurate.session import ship_code, written
 
 #: Texts in which a term has to occur to be kept, and the terms that are reported of each group.
@@ -41,8 +40,9 @@ RANKED_TERMS = 1 << 16
 UNIT = 1_000_000_000
 # The sides of a tile that a source is on; in the tile of its own block it is on both.
 _BOTH, _LEFT, _RIGHT = 0, 1, 2
-_TERMS = re.compile(rb"[a-z\x80-\xff]+")
 _LOWER = np.array([b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 0 for b in range(256)], np.uint8)
+# Masks of the first n of eight bytes.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def probability(occurrences: np.ndarray, total: np.ndarray | int) -> np.ndarray:
@@ -74,11 +74,21 @@ def _counted(docs: DataFrame, by_source: bool) -> DataFrame:
         found: dict[tuple, Counter] = {}
         for whole in batches:
             for batch in byte_slices(whole, "text"):
-                texts = batch.column("text").cast(pa.binary())
-                keys = zip(*[batch.column(c).to_pylist() for c in names[:-2]], strict=True)
-                for key, text in zip(keys, texts, strict=True):
-                    terms = _TERMS.findall(text.as_py().lower())
-                    found.setdefault(key, Counter()).update(terms if by_source else set(terms))
+                keys = list(zip(*[batch.column(c).to_pylist() for c in names[:-2]], strict=True))
+                numbers = {key: i for i, key in enumerate(dict.fromkeys(keys))}
+                group = np.array([numbers[key] for key in keys], np.int64)
+                low, text, starts, lengths = occurrences(batch.column("text"))
+                one, term = distinct_terms(low, starts, lengths)
+                if not by_source and len(one):
+                    text, term = np.divmod(np.unique(text * len(one) + term), len(one))
+                pairs, n = np.unique(group[text] * len(one) + term, return_counts=True)
+                limits = np.searchsorted(pairs, np.arange(len(numbers) + 1) * len(one))
+                data = low.tobytes()
+                spelled = [data[i : i + k] for i, k in zip(starts[one].tolist(), lengths[one].tolist(), strict=True)]
+                for key, i in numbers.items():
+                    terms, own = found.setdefault(key, Counter()), slice(limits[i], limits[i + 1])
+                    for t, more in zip((pairs[own] - i * len(one)).tolist(), n[own].tolist(), strict=True):
+                        terms[spelled[t]] = terms.get(spelled[t], 0) + more
                 if sum(map(len, found.values())) > GATHERED:
                     yield from flush(found)
         yield from flush(found)
@@ -129,6 +139,55 @@ def blocks_of(terms: DataFrame) -> DataFrame:
     return ranged.mapInArrow(run, "lang string, first string, n long, data binary")
 
 
+def occurrences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased bytes of all texts, and the text, start and length of every occurrence of a term in them."""
+    texts = texts.cast(pa.large_string())
+    nothing = np.zeros(0, np.int64)
+    if not len(texts) or texts.buffers()[2] is None:
+        return np.zeros(0, np.uint8), nothing, nothing, nothing
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    low = _LOWER[np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]]
+    if not len(low):
+        return low, nothing, nothing, nothing
+    ends = ends - ends[0]
+    inside = low > 0
+    after, before = np.append(inside[1:], False), np.append(False, inside[:-1])
+    cuts = ends[1:-1]
+    cuts = cuts[(cuts > 0) & (cuts < len(low))]
+    before[cuts] = False
+    after[cuts - 1] = False
+    starts = np.flatnonzero(inside & ~before)
+    lengths = np.flatnonzero(inside & ~after) + 1 - starts
+    return low, np.searchsorted(ends[1:], starts, side="right"), starts, lengths
+
+
+def distinct_terms(low: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One occurrence of each distinct term, and the number of its term for every occurrence.
+
+    Terms are told apart exactly, by eight bytes at a time; no byte of a term is 0, so shorter ones are filled up.
+    """
+    eights = np.ndarray(len(low) + 1, "<u8", np.append(low, np.zeros(8, np.uint8)), strides=(1,))
+    term, numbers = np.zeros(len(starts), np.int64), 1
+    left, step = np.flatnonzero(lengths <= LONG_BYTES), 0
+    while len(left):
+        word = eights[starts[left] + step] & _FIRST_BYTES[np.minimum(lengths[left] - step, 8)]
+        words = pa.array(word).dictionary_encode()
+        if step:
+            both = term[left] * len(words.dictionary) + words.indices.to_numpy()
+            words = pa.array(both).dictionary_encode()
+        term[left] = numbers + words.indices.to_numpy().astype(np.int64)
+        numbers += len(words.dictionary)
+        step += 8
+        left = left[lengths[left] > step]
+    long: dict[bytes, int] = {}
+    for i in np.flatnonzero(lengths > LONG_BYTES):
+        term[i] = long.setdefault(low[starts[i] : starts[i] + lengths[i]].tobytes(), numbers + len(long))
+    one = np.full(numbers + len(long), -1, np.int64)
+    one[term] = np.arange(len(term))
+    used = one >= 0
+    return one[used], (np.cumsum(used) - 1)[term]
+
+
 class Directory:
     """Where the blocks of each language begin: one entry for each block."""
 
@@ -188,34 +247,22 @@ class Vocabulary:
 
     def count(self, texts: pa.Array, langs: np.ndarray, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(text, ordinal) of every occurrence of a kept term; `langs` gives each text's place in `names`."""
-        texts = texts.cast(pa.large_string())
-        nothing = np.zeros(0, np.int64)
-        if not len(texts) or texts.buffers()[2] is None:
-            return nothing, nothing
-        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        low = _LOWER[np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]]
-        if not len(low):
-            return nothing, nothing
-        ends = ends - ends[0]
-        inside = low > 0
-        after, before = np.append(inside[1:], False), np.append(False, inside[:-1])
-        cuts = ends[1:-1]
-        cuts = cuts[(cuts > 0) & (cuts < len(low))]
-        before[cuts] = False
-        after[cuts - 1] = False
-        starts = np.flatnonzero(inside & ~before)
-        lengths = np.flatnonzero(inside & ~after) + 1 - starts
-        text = np.searchsorted(ends[1:], starts, side="right")
+        low, text, starts, lengths = occurrences(texts)
         lang = langs[text]
-        block = np.full(len(starts), -1, np.int64)
+        ordinal = np.full(len(starts), -1, np.int64)
         for i in np.unique(lang):
-            own = lang == i
-            block[own] = self._blocks(names[i], low, starts[own], lengths[own])
-        known = block >= 0
-        text, starts, lengths, block = text[known], starts[known], lengths[known], block[known]
-        ordinal = self.arcs.ordinals(low, starts, lengths, self.roots[block])
+            own = np.flatnonzero(lang == i)
+            # A term that occurs often is followed once.
+            one, term = distinct_terms(low, starts[own], lengths[own])
+            at, long = starts[own[one]], lengths[own[one]]
+            block = self._blocks(names[i], low, at, long)
+            known = block >= 0
+            found = np.full(len(one), -1, np.int64)
+            places = self.arcs.ordinals(low, at[known], long[known], self.roots[block[known]])
+            found[known] = np.where(places >= 0, places + self.bases[block[known]], -1)
+            ordinal[own] = found[term]
         kept = ordinal >= 0
-        return text[kept], ordinal[kept] + self.bases[block[kept]]
+        return text[kept], ordinal[kept]
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clipcurate.llm import divergence
@@ -49,6 +50,28 @@ def test_long_division_is_exact():
     assert divergence.probability(n, total).tolist() == [1 + 10**9 * int(a) // int(b) for a, b in zip(n, total, strict=True)]
 
 
+def test_distinct_terms_are_told_apart_exactly():
+    rng = random.Random(5)
+    spelled = ["a", "ab", "abcdefgh", "abcdefghi", "abcdefghj", "é" * 8, "é" * 9, "x" * 16, "x" * 17, "y" * 64, "y" * 65, "y" * 66, "Abcdefgh"]
+    texts = ["", *[" ".join(rng.choice(spelled) for _ in range(40)) + rng.choice(["", ".", " 1"]) for _ in range(30)], "", "b"]
+    cut = pa.array(["left out", *texts, "left out"]).slice(1, len(texts))
+    low, text, starts, lengths = divergence.occurrences(cut)
+    one, term = divergence.distinct_terms(low, starts, lengths)
+    found = [low[s : s + n].tobytes() for s, n in zip(starts, lengths, strict=True)]
+    wanted = [(i, t) for i, x in enumerate(texts) for t in re.findall(rb"[a-z\x80-\xff]+", x.encode().lower())]
+    assert list(zip(text.tolist(), found, strict=True)) == wanted
+    assert [found[i] for i in one[term]] == found and len(one) == len(set(found))
+    assert all(len(x) == 0 for x in divergence.distinct_terms(np.zeros(1, np.uint8), *[np.zeros(0, np.int64)] * 2))
+
+
+def test_a_term_is_followed_once_however_often_it_occurs(monkeypatch):
+    vocabulary = divergence.Vocabulary(divergence.Directory([("en", "dog", 2)]), {0: build([b"dog", b"the"]).to_bytes()})
+    asked, follow = [], Transducer.ordinals
+    monkeypatch.setattr(Transducer, "ordinals", lambda self, data, starts, *a: asked.append(len(starts)) or follow(self, data, starts, *a))
+    text, ordinal = vocabulary.count(pa.array(["The dog " * 500, "the cat"]), np.zeros(2, np.int64), ["en"])
+    assert sum(asked) == 3 and len(text) == 1001 and np.bincount(ordinal).tolist() == [500, 501]
+
+
 def plain(rows, top=200, least=3):
     upper = {chr(c): chr(c + 32) for c in range(65, 91)}
     seen, docs, groups = defaultdict(Counter), defaultdict(Counter), set()
