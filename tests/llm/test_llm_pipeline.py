@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from clipcurate.llm import decontaminate, near_dedup, toxicity
 from clipcurate.llm.common import table
+from clipcurate.session import settings
 
 DATA = "/root/testdata/sf0.01"
 
@@ -45,3 +46,10 @@ def test_each_stage_did_its_work(spark, stages):
 def test_run_gives_the_last_stage(spark, stages):
     run = corpus_pipeline.run(spark, DATA)
     assert {r.doc_id for r in run.select("doc_id").collect()} == {r.doc_id for r in stages[-1].select("doc_id").collect()}
+
+
+def test_stages_read_and_pass_on_few_rows_at_once(spark):
+    names = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    stage = corpus_pipeline._in_small_batches(lambda spark, docs, sf_dir: [int(spark.conf.get(n)) for n in names])
+    with settings(spark, **dict.fromkeys(names, "4096")):
+        assert stage(spark, None, "") == [500, 1_000]
