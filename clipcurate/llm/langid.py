@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipcurate.llm.common import keeping, labelled_sample, map_rows, texts_of
+from clipcurate.llm.common import give_back, keeping, labelled_sample, map_rows, texts_of
 from clipcurate.llm.subword import Model, Space, WordRows, document_sums, leads, train
 
 UNKNOWN = "und"
@@ -33,7 +33,10 @@ def fit(documents: DataFrame, rows: int = SAMPLE_ROWS, max_chars: int = SAMPLE_C
     """Learn from the non-null `lang` of documents outside the held-out fold, up to `rows` of each language."""
     sample = labelled_sample(documents, documents, "lang", rows, max_chars)
     examples = [(Counter(w.encode() for w in words_of(text)), lang) for text, lang in sample]
-    return learn([e for e in examples if e[0]])
+    model = learn([e for e in examples if e[0]])
+    del sample, examples
+    give_back()
+    return model
 
 
 def learn(examples: list[tuple[Counter, str]]) -> Model:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipcurate.llm.common import keeping, labelled_sample, map_rows, texts_of
+from clipcurate.llm.common import give_back, keeping, labelled_sample, map_rows, texts_of
 from clipcurate.llm.subword import MOST_KNOWN
 
 BUCKETS = 1 << 18
@@ -63,7 +63,9 @@ def fit(
     documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_chars: int = SAMPLE_CHARS
 ) -> Model:
     """Learn `labels.toxic` from rows outside the held-out fold, up to `rows` of each label value."""
-    return learn(labelled_sample(documents, labels, "toxic", rows, max_chars))
+    model = learn(labelled_sample(documents, labels, "toxic", rows, max_chars))
+    give_back()
+    return model
 
 
 def learn(

@@ -155,3 +155,13 @@ def test_toxicity_holds_out(spark):
     assert counts[1, 1] / (counts[1, 1] + counts[1, 0]) > 0.6
     assert counts[1, 1] / (counts[1, 1] + counts[0, 1]) > 0.9
     assert toxicity.score(odd(spark), toxicity.fit(documents, labels.limit(0))).where("toxic_pred = 1").count() == 0
+
+
+@pytest.mark.parametrize("operator", [langid, toxicity])
+def test_driver_gives_back_what_learning_took(operator, monkeypatch):
+    given = []
+    monkeypatch.setattr(operator, "labelled_sample", lambda *a, **b: [("good day to you", "en"), ("guten tag auch", "de")] * 3)
+    monkeypatch.setattr(operator, "learn", lambda sample: given.append("learnt") or "model")
+    monkeypatch.setattr(operator, "give_back", lambda: given.append("given back"))
+    assert operator.fit(None, *([None] if operator is toxicity else [])) == "model"
+    assert given == ["learnt", "given back"]
