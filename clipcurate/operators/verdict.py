@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clipcurate.config import CurationConfig
 from clipcurate.functions.audio import chars_per_second, duration_ms, duration_seconds
 from clipcurate.functions.text import clean_text
+from clipcurate.schemas import BUCKET, PART
 
 # The verdicts, in the order of the tests.
 TEXT_REJECTED = "text_rejected"
@@ -88,7 +89,7 @@ def apply_speakers(
     """Reject kept clips whose speakers failed. Without a speakers table the join is not planned.
 
     Speakers with a language join by it. In a run over one language theirs are picked first, and the id alone joins,
-    which shares the shuffle of the copies.
+    which shares the shuffle of the copies. Tables that lie by bucket are joined where they lie.
     """
     if speakers is None:
         return measured
@@ -98,6 +99,7 @@ def apply_speakers(
             speakers = in_languages(speakers, languages).drop("language")
         else:
             key = ["language", "id"]
+    key = [*[c for c in (BUCKET, PART) if c in speakers.columns], *key]
     # Clips that pass need not be met, so they are not shuffled.
     speakers = speakers.where(~F.col("single_speaker"))
     failed = ~F.coalesce(F.col("single_speaker"), F.lit(True))

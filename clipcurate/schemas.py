@@ -63,6 +63,8 @@ RUN_KEY = "run_key"
 # Below it, rows are split by a hash of the id. Fixed values of the layout: the column and the number of buckets.
 BUCKET = "bucket"
 BUCKETS = 32
+# While a run is at work, the rows of a bucket are dealt to this many tasks by a hash of the id. Not a column of the layout.
+PART = "_part"
 
 # Where a later copy of a recorded clip lies, and partial counts of what a run or micro-batch has recorded.
 DUPLICATES = "language string, id string, src_file string, src_row long"

@@ -62,9 +62,15 @@ def ledger_part(path: str, key: str) -> str:
 
 
 def write_ledger(verdicts: DataFrame, path: str, key: str) -> None:
-    """Write the verdict rows of one writer, a folder per bucket; doing it again with the same key replaces them."""
-    rows = verdicts.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields])
-    bucketed = rows.withColumn(BUCKET, bucket_of(F.col("id"))).repartition(BUCKET)
+    """Write the verdict rows of one writer, a folder per bucket; doing it again with the same key replaces them.
+
+    Rows that come with their bucket are written from where they lie.
+    """
+    columns = [F.col(f.name).cast(f.dataType) for f in LEDGER.fields]
+    if BUCKET in verdicts.columns:
+        bucketed = verdicts.select(*columns, BUCKET)
+    else:
+        bucketed = verdicts.select(*columns, bucket_of(F.col("id")).alias(BUCKET)).repartition(BUCKET)
     bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(ledger_part(path, key))
 
 

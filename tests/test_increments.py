@@ -1,5 +1,9 @@
 """Late copies, counts by increments, buckets and compaction."""
 
+import os
+import re
+import time
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -11,6 +15,7 @@ from clipcurate.plans import increments
 from clipcurate.plans.curate import Curator
 from clipcurate.plans.increments import compact_ledger, read_counts
 from clipcurate.schemas import BUCKETS
+from clipcurate.session import settings
 from clipcurate.sources.ledger import bucket_of, import_ledger, read_ledger
 from clipcurate.sinks.tables import append_ledger
 from clipcurate.streaming.curate import curate_stream
@@ -165,3 +170,78 @@ def test_copies_are_found_without_a_second_meeting_of_rows_and_ledger(spark):
     placed = [found[0].where("id in ('a', 'b')"), found[1].where("src_file is not null"), found[2]]
     plan = copies_of(*placed)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") == 1
+
+
+def speakers_of(clips):
+    heard = F.when(F.col("src_row") % 4 == 0, "failed").otherwise("ok").alias("status")
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("start_us", "long"), ("end_us", "long"), ("speaker", "string"))]
+    return clips.select(F.col("id").alias("clip_id"), *nothing, heard)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("|")
+    return {f for f in files.split("|") if "/shuffle_" in f and f.endswith(".data")}
+
+
+def test_a_run_shuffles_texts_once_and_leaves_no_shuffle_of_texts_behind(clips, spark, tmp_path, monkeypatch):
+    """Disk is what a run over much text ran out of: first copies, speakers and buckets shuffled all texts each."""
+    from clipcurate.plans import curate
+
+    plans, append = [], curate.append_ledger
+
+    def seen(verdicts, path, run_id):
+        query = verdicts._jdf.queryExecution()
+        plans.append(spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(query, "formatted"))
+        return append(verdicts, path, run_id)
+
+    noise = F.expr("array_join(transform(sequence(1, 50), i -> sha2(concat(src_row, ':', i), 512)), '')")
+    long = clips.withColumn("text", noise)
+    before = shuffle_files(spark)
+    with monkeypatch.context() as m:
+        m.setattr(curate, "append_ledger", seen)
+        m.setattr(curate, "IDS_TO_BROADCAST", 0, raising=False)
+        with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+            Curator().run_and_record(long, str(tmp_path / "ledger"), speakers_of(long))
+    inputs = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plans[0])
+    assert len([i for i in inputs if re.search("text#|valueWithExtremumOrdering#", i)]) == 1
+    texts = long.select("id", "language").distinct().count() * 6_400
+    for _ in range(100):
+        left = sum(os.path.getsize(f) for f in shuffle_files(spark) - before if os.path.exists(f))
+        if left < texts / 4:
+            break
+        time.sleep(0.1)
+    assert left < texts / 4
+
+
+@pytest.mark.parametrize(
+    "languages, to_send, to_ship",
+    [(None, 200_000, 1), (None, 0, 1_000), (None, 12, 2), (("gu",), 0, 1), (("gu",), 200_000, 1_000)],
+)
+def test_what_is_recorded_depends_on_no_limit(clips, spark, tmp_path, monkeypatch, languages, to_send, to_ship):
+    """Few and many new clips, ids of many copies, and nulls, which are recorded anew by every run."""
+    nulls = [(None, "gu", TEXT, 3000, 1000, "g", 1), (None, "gu", "", 3000, 1000, "g", 2), ("c1", None, TEXT, 3000, 1000, "g", 3)]
+    rows = clips.union(spark.createDataFrame([*nulls, ("c99", "gu", None, None, 1000, None, None)], clips.schema))
+    monkeypatch.setattr("clipcurate.plans.curate.IDS_TO_BROADCAST", to_send)
+    monkeypatch.setattr("clipcurate.operators.resume.COPIES_TO_SHIP", to_ship)
+    path, config = str(tmp_path / "ledger"), CurationConfig(languages=languages)
+    columns = ("language", "id", "verdict", "copies", "src_file", "src_row", "clean_text", "duration_ms")
+    values = lambda df: Counter(tuple(r) for r in df.select(*columns).collect())
+    heard = speakers_of(rows)
+    part = rows.where("src_row < 9")
+    want = values(Curator(config).verdicts(part, heard))
+    assert values(Curator(config).run_and_record(part, path, heard).verdicts) == want
+    want += values(Curator(config).verdicts(rows, heard, read_ledger(spark, path)))
+    assert values(Curator(config).run_and_record(rows, path, heard).verdicts) == want
+
+
+def test_many_rows_of_a_bucket_are_dealt_to_several_tasks(clips, spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ledger")
+    monkeypatch.setattr("clipcurate.sources.ledger.ROWS_PER_TASK", 1)
+    monkeypatch.setattr("clipcurate.plans.curate.IDS_TO_BROADCAST", 0)
+    spread = clips.withColumn("id", F.concat("id", F.lit("-"), "src_row"))
+    heard = speakers_of(spread)
+    for stop in (40, 60):
+        record = Curator(CurationConfig(run_id=str(stop))).run_and_record
+        rows = record(spread.where(F.col("src_row") < stop), path, heard).verdicts
+    assert state(rows) == state(Curator().verdicts(spread, heard))
+    assert all(r.id in {x.id for x in read_ledger(spark, path, buckets=[r.b]).collect()} for r in rows.select("id", bucket_of(F.col("id")).alias("b")).limit(3).collect())
