@@ -126,8 +126,8 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-#: Share of the right answers among the rows kept apart that are not rejected.
-KEEP = 0.999
+#: Share of the right answers among the rows kept apart that are not rejected, and how many of them tell a limit.
+KEEP, LEAST_RIGHT = 0.999, 10
 
 
 def train(
@@ -144,7 +144,7 @@ def train(
     Every class has the same total weight. Steps are scaled per parameter by the root of their summed squares.
     The first `calibration` share of the shuffled examples is kept apart to choose the temperature and the limit of
     rejection, which `KEEP` of the right answers among them reach. With fewer than `1 / calibration` examples none is
-    kept apart; the temperature is then 1, and nothing is rejected.
+    kept apart; the temperature is then 1, and nothing is rejected. Nor is it if fewer than `LEAST_RIGHT` of them are right.
     """
     classes = sorted({label for _, label in examples}, key=str)
     if len(classes) < 2:
@@ -189,7 +189,7 @@ def train(
         }
         model.temperature = min(losses, key=losses.get)
         right = np.sort(leads(scores)[scores.argmax(axis=1) == truth])
-        if len(right):
+        if len(right) >= LEAST_RIGHT:
             model.reject_below = float(right[int((1 - KEEP) * len(right))])
     return model
 
